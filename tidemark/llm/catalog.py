@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, tokenfiles
+from tidemark.llm import line_dedup, mixing, near_dedup, packing, quality_rules, tokenfiles
 
-MODULES = (tokenfiles, packing)
+MODULES = (tokenfiles, line_dedup, near_dedup, quality_rules, packing, mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -15,7 +15,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _PUNCT = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: White space or separators on which Python and the tokenizers may differ.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
+_ODD = re.compile("[" + "".join(map(chr, (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200E), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF))) + "]")
 _SIMPLE = re.compile(f"( ?)([{_LETTERS}]*)([{_PUNCT}]*)")
 _UNITS = re.compile(r" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]")
 
