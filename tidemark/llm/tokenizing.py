@@ -40,7 +40,7 @@ class TokenEncoder(dict):
     bounded by ``most_units``; it starts anew when full. Special-token strings in a text are ordinary text.
     """
 
-    def __init__(self, path: str, most_units: int = 250_000):
+    def __init__(self, path: str, most_units: int = 700_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -64,20 +64,20 @@ class TokenEncoder(dict):
         return struct.pack(f"<{len(ids)}{self._code}", *ids)
 
     def _mapped(self, piece: str) -> str:
-        return piece if piece.isascii() and " " not in piece else "".join(map(self._letters.__getitem__, piece.encode()))
+        return piece.replace(" ", self._letters[32]) if piece.isascii() else "".join(map(self._letters.__getitem__, piece.encode()))
 
     def __missing__(self, unit: str) -> bytes:
+        if len(self) >= self.most_units:
+            self.clear()
         if m := _SIMPLE.fullmatch(unit):
             space, letters, rest = m.groups()
-            if self.layout == "word":
-                pieces = (letters.lower(), rest)
-            else:
-                pieces = (space + letters, rest) if letters else (space + rest,)
-            ids = [t.id for p in pieces if p for t in self.model.tokenize(self._mapped(p))]
+            head = letters.lower() if self.layout == "word" else space + letters
+            if letters and (rest or head != unit):  # known parts under other punctuation or capitals
+                out = self[unit] = self[head] + (self[rest] if rest else b"")
+                return out
+            ids = [t.id for t in self.model.tokenize(self._mapped(unit))]
         else:
             ids = self.tok.encode(unit, add_special_tokens=False).ids
-        if len(self) >= self.most_units:
-            self.clear()
         out = self[unit] = self._pack(ids)
         return out
 
