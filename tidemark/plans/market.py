@@ -115,14 +115,14 @@ def listing_in_caps(spark: SparkSession, sf: str) -> DataFrame:
 def missing_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """(market, month) pairs without any cap above a bound."""
     caps = A.market_caps(spark, sf)
-    present = caps.where("market_cap > 1700000").select("market", "month").distinct()
+    present = caps.where("market_cap > 5000000").select("market", "month").distinct()
     return asof.missing_combinations([caps.select("market").distinct(), caps.select("month").distinct()], present)
 
 
 def price_source_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """First non-empty price source per ticker and which one it was."""
     p = A.prices(spark, sf).where("date >= date'2001-10-15'").select("ticker", "date", "close")
-    return asof.first_source([p.where("volume is null or ticker % 4 = 1") if "volume" in p.columns else p.where("ticker % 4 = 1"), p.where("ticker % 4 <> 2")], ["ticker"])
+    return asof.first_source([p.where("ticker % 4 = 1"), p.where("ticker % 4 <> 2")], ["ticker"])
 
 
 def technical_indicator_bars(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,6 +163,6 @@ SQL = {
     "source_priority_coalesce": with_tables("uni", " SELECT ticker, CASE WHEN ticker % 3 = 0 THEN market WHEN ticker % 2 = 0 THEN sector ELSE 'General' END AS label, CASE WHEN ticker % 3 = 0 THEN 0 WHEN ticker % 2 = 0 THEN 1 ELSE 2 END::INT AS source_rank FROM uni"),
     "market_split_union": with_tables("uni", " SELECT DISTINCT ticker, market FROM uni WHERE market LIKE 'A%' OR market LIKE '%A'"),
     "listing_in_caps": with_tables("cap", " SELECT ticker, market FROM uni WHERE ticker IN (SELECT ticker FROM cap WHERE trade_date >= DATE '2001-06-01')"),
-    "missing_partitions": with_tables("cap", " SELECT market, month FROM (SELECT DISTINCT market FROM cap) CROSS JOIN (SELECT DISTINCT month FROM cap) EXCEPT SELECT market, month FROM cap WHERE market_cap > 1700000"),
+    "missing_partitions": with_tables("cap", " SELECT market, month FROM (SELECT DISTINCT market FROM cap) CROSS JOIN (SELECT DISTINCT month FROM cap) EXCEPT SELECT market, month FROM cap WHERE market_cap > 5000000"),
     "price_source_fallback": with_tables("px", " SELECT ticker, CASE WHEN ticker % 4 = 1 THEN 0 ELSE 1 END::INT AS source_rank, date, close FROM px WHERE date >= DATE '2001-10-15' AND ticker % 4 <> 2"),
 }
