@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import cap_dedup, line_dedup, mixing, near_dedup, packing, quality_rules, tokenfiles, url_filter
+from tidemark.llm import cap_dedup, line_dedup, lm_scoring, mil_quality, mixing, near_dedup, packing, quality_rules, tokenfiles, url_filter
 
-MODULES = (cap_dedup, tokenfiles, line_dedup, near_dedup, quality_rules, packing, url_filter, mixing)
+MODULES = (mil_quality, cap_dedup, tokenfiles, lm_scoring, line_dedup, near_dedup, quality_rules, packing, url_filter, mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
