@@ -47,13 +47,16 @@ def shingle_set(text: bytes | None, size: int = WORDS) -> np.ndarray:
 
 
 def sketch(items: np.ndarray) -> np.ndarray:
-    """SetSketch registers: floor(1 - log_base of the least exponential value), cut to 0..TOP+1; unions take the maximum."""
+    """SetSketch registers: floor(1 - log_base of the least exponential value), cut to 0..TOP+1; unions take the maximum.
+
+    The values' rate (16) keeps the registers of even a single item above 0, where cut values would agree by chance.
+    """
     least = np.full(REGISTERS, np.iinfo(np.uint64).max, np.uint64)
     for lo in range(0, len(items), 256):
         least = np.minimum(least, (items[lo : lo + 256, None] * _MUL + _ADD).min(axis=0))
     u = (least.astype(np.float64) + 1.0) / 2.0**64
     value = -np.log1p(-np.minimum(u, 1 - 1e-16))
-    return np.clip(np.floor(1 - np.log(value * 4.0) / np.log(BASE)), 0, TOP + 1).astype(np.uint8)
+    return np.clip(np.floor(1 - np.log(value / 16.0) / np.log(BASE)), 0, TOP + 1).astype(np.uint8)
 
 
 def likely(more: np.ndarray, less: np.ndarray, same: np.ndarray, n1: np.ndarray, n2: np.ndarray, at: float = CUT) -> np.ndarray:
@@ -202,7 +205,8 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     good = all_rows.where("n > 0 and doc_id is not null")
     classes = keep(good.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("regs").alias("regs")), "near-classes")
     reps = classes.select(F.col("rep").alias("id"), "n", "regs")
-    reps = keep(reps.dropDuplicates(["id"]), "near-reps")
+    # different sets of which one has two items or less reach 2/3 at most
+    reps = keep(reps.where("n > 2").dropDuplicates(["id"]), "near-reps")
     comps = connected_components(near_links(reps, docs), "near-components")
     named = classes.select("digest", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     out = all_rows.join(named, "digest", "left")
