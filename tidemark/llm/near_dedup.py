@@ -15,8 +15,8 @@ from tidemark.llm.shared import connected_components, keep, small_or_plain, tabl
 WORDS, SIMILARITY = 5, 0.75
 #: Registers, their base and largest value; registers in a band; estimates below CUT are no candidates.
 REGISTERS, BASE, TOP, BAND, CUT = 128, 1.1, 254, 4, 0.58
-#: Members of a bucket that are compared in one block.
-BLOCK = 1024
+#: Members of a cluster that are compared in one block.
+BLOCK = 2048
 
 _RNG = np.random.default_rng(20240615)
 _MUL = _RNG.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -135,41 +135,57 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                     ok.append(100 * both >= round(100 * SIMILARITY) * (len(x) + len(y) - both))
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
 
-    ids = small_or_plain(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-    sets = keep(shingle_sets(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-sets")
+    sets = keep(sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), docs), "near-sets")
     left, right = (sets.select(F.col("id").alias(k), F.col("items").alias(f"{k}_items")) for k in ("a", "b"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "a_items", "b_items").mapInArrow(run, "a bigint, b bigint, ok boolean")
 
 
-def block_pairs(members: DataFrame) -> DataFrame:
-    """Likely pairs across components within blocks; ``members``: key, i, j, chunk, id, comp, n, regs."""
+def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    return shingle_sets(docs.join(small_or_plain(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
+def block_links(members: DataFrame) -> DataFrame:
+    """Confirmed links between components within blocks; ``members``: cluster, i, j, chunk, id, comp, n, regs, items.
+
+    Likely pairs are checked on their full sets where they are. A link joins its two components in the block, and two
+    joined components need no second link, so a block returns fewer links than it has members.
+    """
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
-        chunk = t.column("chunk").to_numpy()
-        ids, comp, n = (t.column(c).to_numpy() for c in ("id", "comp", "n"))
+        ids, comp, n, chunk = (t.column(c).to_numpy() for c in ("id", "comp", "n", "chunk"))
+        comp = comp.copy()
         regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+        sets = [np.frombuffer(b, np.uint64) for b in t.column("items").to_pylist()]
         left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-        out_a, out_b = [], []
+        out: list[tuple[int, int]] = []
         for k in left:
             far = right[(comp[right] != comp[k]) & ((ids[right] > ids[k]) if i == j else True)]
-            if len(far):
-                x, y = regs[k][None, :], regs[far]
-                ok = likely((x > y).sum(1), (x < y).sum(1), (x == y).sum(1), np.full(len(far), float(n[k])), n[far].astype(float))
-                out_a.append(np.minimum(ids[k], ids[far[ok]]))
-                out_b.append(np.maximum(ids[k], ids[far[ok]]))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            if not len(far):
+                continue
+            x, y = regs[k][None, :], regs[far]
+            far = far[likely((x > y).sum(1), (x < y).sum(1), (x == y).sum(1), np.full(len(far), float(n[k])), n[far].astype(float))]
+            if not len(far):
+                continue
+            own, items = sets[k], np.concatenate([sets[m] for m in far])
+            at = np.minimum(np.searchsorted(own, items), len(own) - 1)
+            both = np.add.reduceat((own[at] == items).astype(np.int64), np.concatenate([[0], np.cumsum(n[far])[:-1]]))
+            for m in far[100 * both >= round(100 * SIMILARITY) * (n[k] + n[far] - both)]:
+                if comp[m] != comp[k]:
+                    out.append((min(ids[k], ids[m]), max(ids[k], ids[m])))
+                    comp[comp == comp[m]] = comp[k]
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
-    return members.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint")
+    return members.groupBy("cluster", "i", "j").applyInArrow(run, "a bigint, b bigint")
 
 
 def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) between different texts that give all components.
 
-    Round one pairs every member of a bucket with the bucket's smallest id, as many pairs as members. Round two
-    compares, in blocks, members of those buckets that still hold several components. Members of one component need
-    no further link, so no group of copies is expanded into all its pairs.
+    Round one pairs every member of a bucket with the bucket's smallest id, as many pairs as members. Round two takes
+    the buckets that still hold several components, gathers each chain of such buckets into a cluster, and compares
+    a cluster's members in blocks. Members of one component need no further link, so no group of copies is expanded
+    into all its pairs, and blocks return links, not candidates.
     """
     bands = reps.select("id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda i: F.xxhash64(i, F.substring("regs", i * BAND + 1, F.lit(BAND))))).alias("key"))
     buckets = keep(bands.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1"), "near-buckets")
@@ -179,18 +195,20 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     links = first.where("ok").select("a", "b")
     comps = connected_components(links, "near-components")
 
-    wide = rows.where("size > 2").join(comps, "id", "left").select("key", "size", "id", F.coalesce("component", "id").alias("comp"))
+    # a bucket of two is settled by its only pair
+    wide = rows.where("size > 2").join(comps, "id", "left").select("key", "leader", "id", F.coalesce("component", "id").alias("comp"))
     open_ = wide.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    left = keep(wide.join(open_, "key", "left_semi"), "near-open")
+    left = keep(wide.join(open_, "key", "left_semi").select("leader", "id", "comp").distinct(), "near-open")
     if left.limit(1).count() == 0:
         return links
+    clusters = connected_components(left.select(F.col("leader").alias("a"), F.col("id").alias("b")), "near-clusters").withColumnRenamed("component", "cluster")
+    clusters = keep(clusters, "near-clustered")
     g = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    left = left.select("key", "id", "comp", g.alias("g"), F.pmod(F.xxhash64("id"), g.cast("bigint")).cast("int").alias("chunk"))
-    left = left.join(reps.select("id", "n", "regs"), "id")
-    other = F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("o")
-    blocks = left.select("key", "id", "comp", "n", "regs", "chunk", other).select("key", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), "chunk", "id", "comp", "n", "regs")
-    more = keep(block_pairs(blocks).distinct().join(first, ["a", "b"], "left_anti"), "near-more")
-    return links.union(keep(confirmed(more, docs), "near-second").where("ok").select("a", "b"))
+    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size")).select("cluster", g.alias("g"))
+    members = clusters.join(sizes, "cluster").join(left.select("id", "comp").distinct(), "id").join(reps.select("id", "n", "regs"), "id").join(sets_of(clusters.select(F.col("id").alias("doc_id")), docs), "id")
+    members = members.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("g").cast("bigint")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    blocks = members.select("cluster", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), "chunk", "id", "comp", "n", "regs", "items")
+    return links.union(keep(block_links(blocks), "near-second"))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
