@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates as D
 from tidemark.functions.numbers import round_half_up
 from tidemark.operators import macro
-from tidemark.plans.market import AS_OF, DAY
+from tidemark.plans.market import AS_OF, day
 from tidemark.sources import adapters as A
 from tidemark.sources.adapters import with_tables
 
@@ -16,27 +16,27 @@ HIGH, LOW = "1-URGENT", "5-LOW"
 
 
 def macro_latest(spark: SparkSession, sf: str) -> DataFrame:
-    return macro.latest(A.daily_macro(spark, sf), DAY)
+    return macro.latest(A.daily_macro(spark, sf), day())
 
 
 def macro_yoy_nearest(spark: SparkSession, sf: str) -> DataFrame:
-    return macro.yoy_nearest(A.daily_macro(spark, sf).where("pmod(hash(date), 3) >= 0 and dayofmonth(date) % 4 <> 3"), DAY)
+    return macro.yoy_nearest(A.daily_macro(spark, sf).where("pmod(hash(date), 3) >= 0 and dayofmonth(date) % 4 <> 3"), day())
 
 
 def macro_yoy_same_period(spark: SparkSession, sf: str) -> DataFrame:
-    return macro.yoy_same_period(A.macro(spark, sf), DAY, "M")
+    return macro.yoy_same_period(A.macro(spark, sf), day(), "M")
 
 
 def macro_yoy_same_quarter(spark: SparkSession, sf: str) -> DataFrame:
-    return macro.yoy_same_period(A.macro(spark, sf), DAY, "Q")
+    return macro.yoy_same_period(A.macro(spark, sf), day(), "Q")
 
 
 def macro_mom(spark: SparkSession, sf: str) -> DataFrame:
-    return macro.mom(A.macro(spark, sf), DAY)
+    return macro.mom(A.macro(spark, sf), day())
 
 
 def macro_level_change(spark: SparkSession, sf: str) -> DataFrame:
-    return macro.level_change(A.macro(spark, sf), DAY)
+    return macro.level_change(A.macro(spark, sf), day())
 
 
 def policy_stance(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,7 +47,7 @@ def policy_stance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pair(spark: SparkSession, sf: str, a: str, b: str) -> DataFrame:
-    last = macro.latest(A.daily_macro(spark, sf), DAY)
+    last = macro.latest(A.daily_macro(spark, sf), day())
     return last.agg(F.max(F.when(F.col("series") == a, F.col("value"))).alias("a"), F.max(F.when(F.col("series") == b, F.col("value"))).alias("b"))
 
 
@@ -64,14 +64,14 @@ def series_bounds(spark: SparkSession, sf: str) -> DataFrame:
     tokens = A.macro(spark, sf).select("series", F.date_format("date", "yyyyMM").alias("token"))
     day = D.parse_period(F.col("token"), F.lit("M"))
     b = macro.series_bounds(tokens, day, day)
-    lo, hi = macro.clamp(D.parse_period(D.period_start_token(DAY, F.lit("M")), F.lit("M")), DAY, F.col("first_date"), F.col("last_date"))
+    lo, hi = macro.clamp(D.parse_period(D.period_start_token(day(), F.lit("M")), F.lit("M")), day(), F.col("first_date"), F.col("last_date"))
     return b.select("series", "first_date", "last_date", lo.alias("from_date"), hi.alias("to_date")).where("from_date <= to_date")
 
 
 def macro_categories(spark: SparkSession, sf: str) -> DataFrame:
     """Observations joined to a small series dimension; latest per key with its category."""
     spec = spark.createDataFrame([("1-URGENT", "rates_policy", "base_rate"), ("2-HIGH", "growth_economy", "exports"), ("3-MEDIUM", "growth_economy", "imports"), ("5-LOW", "market_risk", "usd_krw")], "series string, category string, key string")
-    return macro.latest(A.daily_macro(spark, sf), DAY).join(F.broadcast(spec), "series").select("category", "key", "value", "date")
+    return macro.latest(A.daily_macro(spark, sf), day()).join(F.broadcast(spec), "series").select("category", "key", "value", "date")
 
 
 def macro_key_counts(spark: SparkSession, sf: str) -> DataFrame:

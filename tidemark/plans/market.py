@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import last_business_day
@@ -13,26 +13,31 @@ from tidemark.sources import adapters as A
 from tidemark.sources.adapters import with_tables
 
 AS_OF = "1999-12-31"
-DAY = F.lit(AS_OF).cast("date")
+
+
+def day() -> Column:
+    return F.lit(AS_OF).cast("date")
+
+
 R2 = "floor({} * 100 + 0.5) / 100"
 R1 = "floor({} * 10 + 0.5) / 10"
 
 
 def prices_asof_last300(spark: SparkSession, sf: str) -> DataFrame:
-    return asof.latest_n(asof.as_of_cut(A.prices(spark, sf), DAY), ["ticker"], [F.desc("date")], 300)
+    return asof.latest_n(asof.as_of_cut(A.prices(spark, sf), day()), ["ticker"], [F.desc("date")], 300)
 
 
 def last_close_asof(spark: SparkSession, sf: str) -> DataFrame:
-    out = asof.latest_value(A.prices(spark, sf), ["ticker"], "close", "date", DAY)
+    out = asof.latest_value(A.prices(spark, sf), ["ticker"], "close", "date", day())
     return out.select("ticker", "date", F.col("close").alias("last_close"))
 
 
 def return_21bar(spark: SparkSession, sf: str) -> DataFrame:
-    return macro.bar_return(A.prices(spark, sf), DAY, 21)
+    return macro.bar_return(A.prices(spark, sf), day(), 21)
 
 
 def benchmark_asof(spark: SparkSession, sf: str) -> DataFrame:
-    known = A.benchmark_prices(spark, sf).where(F.col("date") <= DAY)
+    known = A.benchmark_prices(spark, sf).where(F.col("date") <= day())
     return known.orderBy(F.desc("date")).limit(300).select("date", round_half_up(F.col("close"), 2).alias("close"), "volume")
 
 
@@ -41,11 +46,11 @@ def month_end_trading_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_trading_day(spark: SparkSession, sf: str) -> DataFrame:
-    return A.prices(spark, sf).where((F.col("date") <= DAY) & (F.col("date") >= F.date_sub(DAY, 14))).groupBy("ticker").agg(F.max("date").alias("date"))
+    return A.prices(spark, sf).where((F.col("date") <= day()) & (F.col("date") >= F.date_sub(day(), 14))).groupBy("ticker").agg(F.max("date").alias("date"))
 
 
 def cap_asof_staleness(spark: SparkSession, sf: str) -> DataFrame:
-    return asof.newest_snapshot(A.market_caps(spark, sf), ["ticker", "market"], "trade_date", DAY, 7).select("ticker", "market", "trade_date", "market_cap")
+    return asof.newest_snapshot(A.market_caps(spark, sf), ["ticker", "market"], "trade_date", day(), 7).select("ticker", "market", "trade_date", "market_cap")
 
 
 def cap_asof_multi_month(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,7 +132,7 @@ def price_source_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 def technical_indicator_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Windowed indicators of each ticker's last 60 known bars (moving bands and rates of change)."""
-    bars = macro.technical_indicators(asof.latest_n(asof.as_of_cut(A.prices(spark, sf), DAY), ["ticker"], [F.desc("date")], 60))
+    bars = macro.technical_indicators(asof.latest_n(asof.as_of_cut(A.prices(spark, sf), day()), ["ticker"], [F.desc("date")], 60))
     cols = {"roc_5": 6, "roc_20": 6, "bb_mid": 6, "stoch_k": 6, "macd": 6, "rsi_14": 6}
     return bars.select("ticker", "date", *(F.round(c, k).alias(c) for c, k in cols.items()))
 

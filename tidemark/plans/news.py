@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates as D
 from tidemark.functions import numbers as N
 from tidemark.functions import text as T
 from tidemark.operators import news, quality
-from tidemark.plans.market import AS_OF, DAY
+from tidemark.plans.market import AS_OF, day
 from tidemark.sources import adapters as A
 from tidemark.sources.adapters import with_tables
 
 NEWS_DAY = "2024-01-25"
-AT = F.lit(NEWS_DAY).cast("date")
+
+
+def at() -> Column:
+    return F.lit(NEWS_DAY).cast("date")
+
 
 
 def news_window_30(spark: SparkSession, sf: str) -> DataFrame:
-    return news.window(A.news(spark, sf), AT, 20).select("ticker", "date", "seq")
+    return news.window(A.news(spark, sf), at(), 20).select("ticker", "date", "seq")
 
 
 def news_window_31(spark: SparkSession, sf: str) -> DataFrame:
-    return news.window(A.news(spark, sf), AT, 20, inclusive_start=True).select("ticker", "date", "seq")
+    return news.window(A.news(spark, sf), at(), 20, inclusive_start=True).select("ticker", "date", "seq")
 
 
 def news_dedupe_keep_first(spark: SparkSession, sf: str) -> DataFrame:
@@ -30,7 +34,7 @@ def news_dedupe_keep_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def news_top15(spark: SparkSession, sf: str) -> DataFrame:
-    return news.top_items(news.window(A.news(spark, sf), AT, 30), 15).select("ticker", "published_at", "headline", "seq")
+    return news.top_items(news.window(A.news(spark, sf), at(), 30), 15).select("ticker", "published_at", "headline", "seq")
 
 
 def news_epoch_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,7 +42,7 @@ def news_epoch_dates(spark: SparkSession, sf: str) -> DataFrame:
     n = A.news(spark, sf)
     epoch = F.when(F.col("seq") % 3 == 0, F.unix_timestamp(F.col("published_at").cast("timestamp")))
     iso = F.when(F.col("seq") % 3 == 1, F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss"))
-    return n.select("seq", D.parse_epoch_or_iso(epoch, iso, AT).alias("d"))
+    return n.select("seq", D.parse_epoch_or_iso(epoch, iso, at()).alias("d"))
 
 
 def news_props_fallback(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,7 +74,7 @@ def news_catalog_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 def news_window_coverage(spark: SparkSession, sf: str) -> DataFrame:
     tickers = A.news(spark, sf).select("ticker").distinct()
-    out = news.coverage(tickers, news.day_status(_captures(spark, sf)), A.news(spark, sf), AT, 20)
+    out = news.coverage(tickers, news.day_status(_captures(spark, sf)), A.news(spark, sf), at(), 20)
     return out.select("ticker", "captured_days", F.size("missing_days").alias("n_missing"), F.element_at(F.concat("missing_days", F.array(F.lit(None).cast("date"))), 1).alias("first_missing"), F.size("capped_days").alias("n_capped"), "raw_count", "status")
 
 
@@ -84,7 +88,7 @@ def calendar_densify(spark: SparkSession, sf: str) -> DataFrame:
 
 def news_date_trackers(spark: SparkSession, sf: str) -> DataFrame:
     """Oldest kept date, and the oldest date of the last page (of 20 items) that contributed to the window."""
-    n = news.window(A.news(spark, sf), AT, 10).withColumn("page", F.floor(F.col("seq") / 20))
+    n = news.window(A.news(spark, sf), at(), 10).withColumn("page", F.floor(F.col("seq") / 20))
     page = n.groupBy("ticker", "page").agg(F.min("date").alias("d"))
     last = page.groupBy("ticker").agg(F.min("d").alias("oldest_kept"), F.max_by("d", "page").alias("last_page_oldest"))
     return last
@@ -92,19 +96,19 @@ def news_date_trackers(spark: SparkSession, sf: str) -> DataFrame:
 
 def dq_prices(spark: SparkSession, sf: str) -> DataFrame:
     p = A.prices(spark, sf).where("ticker % 4 <> 0 and (ticker % 3 = 0 or date <= date'1999-12-31')")
-    out = quality.check_prices(A.universe(spark, sf), p, DAY)
+    out = quality.check_prices(A.universe(spark, sf), p, day())
     return out.select("check", "entity", "status", "detail")
 
 
 def dq_fundamentals(spark: SparkSession, sf: str) -> DataFrame:
     s = A.statements(spark, sf).where("ticker % 5 <> 0 and (ticker % 3 = 0 or report_date <= date'1999-12-31')")
-    return quality.check_fundamentals(A.universe(spark, sf), s, DAY).select("check", "entity", "status", "detail")
+    return quality.check_fundamentals(A.universe(spark, sf), s, day()).select("check", "entity", "status", "detail")
 
 
 def dq_news(spark: SparkSession, sf: str) -> DataFrame:
     n = A.news(spark, sf).where("ticker % 2 = 0 or date between date'2024-01-06' and date'2024-01-25'")
     audit = n.where("ticker % 5 <> 0 or seq % 7 <> 0").withColumn("headline", F.when((F.col("ticker") % 7 == 0) & (F.col("seq") % 3 == 0), "edited").otherwise(F.col("headline")))
-    return quality.check_news(n, audit, ["headline", "date"], AT, 20).select("check", "entity", "status", "detail")
+    return quality.check_news(n, audit, ["headline", "date"], at(), 20).select("check", "entity", "status", "detail")
 
 
 def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,7 +178,7 @@ def parse_news_dates(spark: SparkSession, sf: str) -> DataFrame:
         F.when(k == 0, F.date_format(d, "yyyy.MM.dd HH:mm")).when(k == 1, F.date_format(d, "MM/dd")).when(k == 2, F.concat((F.col("event_id") % 59).cast("string"), F.lit("분전")))
         .when(k == 3, F.concat((F.col("event_id") % 23).cast("string"), F.lit("시간전"))).when(k == 4, F.concat((F.col("event_id") % 9).cast("string"), F.lit("일전"))).otherwise("2024.13.40")
     )
-    return e.select("event_id", D.parse_headline_date(raw, AT).alias("d"), D.parse_headline_time(raw, AT).cast("timestamp_ntz").alias("t"))
+    return e.select("event_id", D.parse_headline_date(raw, at()).alias("d"), D.parse_headline_time(raw, at()).cast("timestamp_ntz").alias("t"))
 
 
 def ecos_period_parse(spark: SparkSession, sf: str) -> DataFrame:
@@ -216,7 +220,7 @@ QUERIES = {
 _D = f"DATE '{NEWS_DAY}'"
 _CAPT = ", ca AS (SELECT ticker, date AS crawl_date, (ticker + day(date)) % 4 = 0 AS page_cap FROM nw WHERE NOT (ticker % 3 = 0 AND date > DATE '2024-01-15') GROUP BY ticker, date)"
 _STATUS = (
-    _CAPT + ", cd AS (SELECT ticker, crawl_date, page_cap, unnest(generate_series(CASE WHEN page_cap THEN crawl_date - 1 ELSE crawl_date - 3 END, crawl_date, INTERVAL 1 DAY))::DATE AS day FROM ca),"
+    _CAPT + ", cd AS (SELECT ticker, crawl_date, page_cap, unnest(generate_series(CASE WHEN page_cap THEN crawl_date - 1 ELSE crawl_date - 3 END, crawl_date, INTERVAL 1 day()))::DATE AS day FROM ca),"
     " ds AS (SELECT ticker, day, CASE WHEN max(CASE WHEN page_cap AND day = crawl_date - 1 THEN 1 ELSE 2 END) = 2 THEN 'ok' ELSE 'partial' END AS status, count(DISTINCT crawl_date)::INT AS n_crawls, min(crawl_date) AS first_crawl FROM cd GROUP BY 1, 2)"
 )
 _KEY = "CASE WHEN coalesce(url, '') <> '' THEN 'url|' || url ELSE 'headline|' || headline || '|' || published_at::VARCHAR END"
@@ -237,10 +241,10 @@ SQL = {
     "news_catalog_merge": with_tables("nw", f", r AS (SELECT *, 0 AS nw, date AS crawl_date FROM nw WHERE seq % 2 = 0 UNION ALL SELECT *, 1, date + 1 FROM nw WHERE seq % 3 <> 1) SELECT ticker, date, url, crawl_date, seq FROM r QUALIFY row_number() OVER (PARTITION BY ticker, date, {_KEY} ORDER BY nw, crawl_date, seq) = 1"),
     "news_window_coverage": with_tables(
         "nw",
-        _STATUS + f", sp AS (SELECT ticker, unnest(generate_series({_D} - 19, {_D}, INTERVAL 1 DAY))::DATE AS day FROM (SELECT DISTINCT ticker FROM nw)), g AS (SELECT ticker, count(status) AS captured_days, count(*) FILTER (status IS NULL)::INT AS n_missing, min(day) FILTER (status IS NULL) AS first_missing, count(*) FILTER (status = 'partial')::INT AS n_capped FROM sp LEFT JOIN ds USING (ticker, day) GROUP BY 1),"
+        _STATUS + f", sp AS (SELECT ticker, unnest(generate_series({_D} - 19, {_D}, INTERVAL 1 day()))::DATE AS day FROM (SELECT DISTINCT ticker FROM nw)), g AS (SELECT ticker, count(status) AS captured_days, count(*) FILTER (status IS NULL)::INT AS n_missing, min(day) FILTER (status IS NULL) AS first_missing, count(*) FILTER (status = 'partial')::INT AS n_capped FROM sp LEFT JOIN ds USING (ticker, day) GROUP BY 1),"
         f" n AS (SELECT ticker, count(*) AS c FROM nw WHERE date BETWEEN {_D} - 19 AND {_D} GROUP BY 1) SELECT g.*, coalesce(c, 0) AS raw_count, CASE WHEN n_missing = 0 AND n_capped = 0 THEN 'ok' ELSE 'degraded' END AS status FROM g LEFT JOIN n USING (ticker)",
     ),
-    "calendar_densify": with_tables("nw", ", s AS (SELECT ticker, unnest(generate_series(min(date), max(date), INTERVAL 1 DAY))::DATE AS date FROM nw GROUP BY 1), c AS (SELECT ticker, date, count(*) AS c FROM nw GROUP BY 1, 2) SELECT ticker, date, coalesce(c, 0) AS n FROM s LEFT JOIN c USING (ticker, date)"),
+    "calendar_densify": with_tables("nw", ", s AS (SELECT ticker, unnest(generate_series(min(date), max(date), INTERVAL 1 day()))::DATE AS date FROM nw GROUP BY 1), c AS (SELECT ticker, date, count(*) AS c FROM nw GROUP BY 1, 2) SELECT ticker, date, coalesce(c, 0) AS n FROM s LEFT JOIN c USING (ticker, date)"),
     "news_date_trackers": with_tables("nw", f", p AS (SELECT ticker, seq // 20 AS page, min(date) AS d FROM nw WHERE date BETWEEN {_D} - 9 AND {_D} GROUP BY 1, 2) SELECT ticker, min(d) AS oldest_kept, arg_max(d, page) AS last_page_oldest FROM p GROUP BY 1"),
     "dq_prices": with_tables("px uni", f", {_DQP} SELECT * FROM dp"),
     "dq_fundamentals": with_tables("uni st", f", {_DQF} SELECT * FROM df"),
@@ -268,7 +272,7 @@ SQL = {
  SELECT o_orderkey, period, CASE WHEN bad THEN NULL WHEN period = 'D' THEN d WHEN period = 'M' THEN date_trunc('month', d) WHEN period = 'Q' THEN date_trunc('quarter', d) ELSE date_trunc('year', d) END::DATE AS first_day,
  CASE period WHEN 'D' THEN strftime(d - 730, '%Y%m%d') WHEN 'M' THEN (year(d) - 4) || '01' WHEN 'Q' THEN (year(d) - 6) || 'Q1' ELSE (year(d) - 10)::VARCHAR END AS from_token,
  CASE period WHEN 'D' THEN strftime(d, '%Y%m%d') WHEN 'M' THEN strftime(d, '%Y%m') WHEN 'Q' THEN year(d) || 'Q' || quarter(d) ELSE year(d)::VARCHAR END AS to_token FROM o""",
-    "business_month_calendar": """WITH m AS (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH))::DATE AS m), c AS (SELECT unnest(generate_series(DATE '1994-12-01', DATE '2002-02-28', INTERVAL 1 DAY))::DATE AS d), w AS (SELECT d, date_trunc('month', d)::DATE AS m FROM c WHERE isodow(d) <= 5),
+    "business_month_calendar": """WITH m AS (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH))::DATE AS m), c AS (SELECT unnest(generate_series(DATE '1994-12-01', DATE '2002-02-28', INTERVAL 1 day()))::DATE AS d), w AS (SELECT d, date_trunc('month', d)::DATE AS m FROM c WHERE isodow(d) <= 5),
  b AS (SELECT m, min(d) AS a, max(d) AS z FROM w GROUP BY 1) SELECT m.m AS month, b.a AS first_day, b.z AS decision_date, n.a AS execution_date, (SELECT max(d) FROM w WHERE w.d < m.m) AS day_before, b.z = last_day(m.m) AS ends_on_weekday FROM m JOIN b ON m.m = b.m JOIN b n ON n.m = (m.m + INTERVAL 1 MONTH)::DATE""",
     "report_names": "SELECT o_orderkey, year(o_orderdate)::VARCHAR AS year, CASE month(o_orderdate) WHEN 3 THEN '11013' WHEN 6 THEN '11012' WHEN 9 THEN '11014' ELSE '11011' END AS code FROM orders WHERE month(o_orderdate) % 3 = 0",
     "cache_keys": "SELECT event_id, 'm:' || event_type || ':' || CASE WHEN user_id % 3 <> 0 THEN user_id::VARCHAR ELSE '__MARKET__' END || ':' || strftime(ts, '%Y-%m') || ':' || substr(md5(props), 1, 8) AS key FROM events",

@@ -9,7 +9,7 @@ from tidemark.functions.dates import last_business_day
 from tidemark.functions.hashing import counts_json, md5_seed, short_sha256
 from tidemark.functions.numbers import round_half_up
 from tidemark.operators import asof, fundamentals, quality, sectors
-from tidemark.plans.market import AS_OF, DAY, last_close_asof
+from tidemark.plans.market import AS_OF, day, last_close_asof
 from tidemark.sources import adapters as A
 from tidemark.sources.adapters import with_tables
 
@@ -32,12 +32,12 @@ def latest_filing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quarters_latest8(spark: SparkSession, sf: str) -> DataFrame:
-    known = asof.as_of_cut(A.statements(spark, sf), DAY, "report_date")
+    known = asof.as_of_cut(A.statements(spark, sf), day(), "report_date")
     return asof.latest_n(known, ["ticker"], [F.desc("report_date")], 8).select("ticker", "fiscal_quarter", "report_date", "revenue")
 
 
 def quarters_lagged_availability(spark: SparkSession, sf: str) -> DataFrame:
-    known = asof.as_of_cut(A.statements(spark, sf), DAY, "period_end", 60)
+    known = asof.as_of_cut(A.statements(spark, sf), day(), "period_end", 60)
     return known.groupBy("ticker").agg(F.count("*").alias("n"), F.max("period_end").alias("last_period_end"))
 
 
@@ -48,12 +48,12 @@ def statement_derived_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 def _latest_quarter(spark: SparkSession, sf: str) -> DataFrame:
     single = fundamentals.derive_fields(fundamentals.uncumulate(A.statements(spark, sf), A.YTD))
-    return asof.latest_n(asof.as_of_cut(single, DAY, "report_date"), ["ticker"], [F.desc("report_date")], 1)
+    return asof.latest_n(asof.as_of_cut(single, day(), "report_date"), ["ticker"], [F.desc("report_date")], 1)
 
 
 def fundamentals_merge(spark: SparkSession, sf: str) -> DataFrame:
     q = _latest_quarter(spark, sf).withColumn("eps", F.when(F.col("ticker") % 2 == 0, F.col("eps")))
-    caps = A.market_caps(spark, sf).where((F.col("trade_date") <= DAY) & (F.col("ticker") % 3 != 0)).groupBy("ticker")
+    caps = A.market_caps(spark, sf).where((F.col("trade_date") <= day()) & (F.col("ticker") % 3 != 0)).groupBy("ticker")
     market = caps.agg(F.max_by("market_cap", "trade_date").cast("double").alias("market_cap"), F.max_by("close", "trade_date").alias("last_close")).withColumn("issued_shares", (F.col("ticker") + 1000).cast("double"))
     out = fundamentals.merge_market(q, market, last_close_asof(spark, sf))
     return out.select("ticker", "fiscal_quarter", round_half_up(F.col("eps"), 2).alias("eps"), "issued_shares", "market_cap", "last_close_price")
@@ -105,8 +105,8 @@ def snapshot_monthly(spark: SparkSession, sf: str) -> DataFrame:
 
 def snapshot_hashes(spark: SparkSession, sf: str) -> DataFrame:
     """Content hashes of counts: bars and quarters per ticker, key-sorted JSON, first 16 hex digits of SHA-256."""
-    p = A.prices(spark, sf).where(F.col("date") <= DAY).groupBy("ticker").agg(F.least(F.count("*"), F.lit(300)).alias("n"))
-    q = A.statements(spark, sf).where(F.col("report_date") <= DAY).groupBy("ticker").agg(F.least(F.count("*"), F.lit(8)).alias("n"))
+    p = A.prices(spark, sf).where(F.col("date") <= day()).groupBy("ticker").agg(F.least(F.count("*"), F.lit(300)).alias("n"))
+    q = A.statements(spark, sf).where(F.col("report_date") <= day()).groupBy("ticker").agg(F.least(F.count("*"), F.lit(8)).alias("n"))
     u = A.universe(spark, sf).select("ticker", "sector")
 
     def per_sector(counts: DataFrame, name: str) -> DataFrame:
@@ -122,7 +122,7 @@ def ticker_seeds(spark: SparkSession, sf: str) -> DataFrame:
 
 def pit_leaks(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the latest-quarter result that were not yet known: none."""
-    return asof.look_ahead(quarters_latest8(spark, sf), "report_date", DAY)
+    return asof.look_ahead(quarters_latest8(spark, sf), "report_date", day())
 
 
 QUERIES = {
