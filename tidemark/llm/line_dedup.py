@@ -95,24 +95,24 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     present, follows the new text; columns of ``docs`` with an output's name are replaced; an empty table gives no rows.
     """
     own = ["n_lines", "n_removed", "removed"]
-    rest = [c for c in docs.columns if c not in own and c != "text_key"]
+    rest = [c for c in docs.columns if c not in {*own, "text_key"}]
     keyed = docs.select(*rest).withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     wins = keep(windows(keyed.select(F.col("doc_id").cast("bigint"), "text_key", "text"), min_words), "line-windows")
-    spans = repeated_spans(wins).groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans"))
-    spans = keep(spans, "line-spans").select(F.col("doc_id").alias("s_doc"), F.col("text_key").alias("s_key"), "spans")
-    on = F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("text_key") == F.col("s_key"))
-    del_on = keyed.join(small_or_plain(spans, 100_000), on, "left").drop("s_doc", "s_key", "text_key")
+    spans = repeated_spans(wins).groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("_tm_spans"))
+    spans = keep(spans, "line-spans").select(F.col("doc_id").alias("_tm_doc"), F.col("text_key").alias("_tm_key"), "_tm_spans")
+    on = F.col("doc_id").eqNullSafe(F.col("_tm_doc")) & (F.col("text_key") == F.col("_tm_key"))
+    del_on = keyed.join(small_or_plain(spans, 100_000), on, "left").drop("_tm_doc", "_tm_key", "text_key")
     lines = F.split(F.col("text"), "\n")
 
     # spans are sorted by their first line: merge those that touch into runs
     merged = F.aggregate(
-        F.col("spans"),
+        F.col("_tm_spans"),
         F.array().cast("array<struct<first:int,last:int>>"),
         lambda acc, s: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["last"] + 1 >= s["first"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["last"], s["last"]).alias("last"))))).otherwise(
             F.concat(acc, F.array(F.struct(s["first"].alias("first"), s["last"].alias("last"))))
         ),
     )
-    out = del_on.withColumn("removed", F.when(F.col("spans").isNull(), F.array().cast("array<struct<first:int,last:int>>")).otherwise(merged)).drop("spans")
+    out = del_on.withColumn("removed", F.when(F.col("_tm_spans").isNull(), F.array().cast("array<struct<first:int,last:int>>")).otherwise(merged)).drop("_tm_spans")
     out = out.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("bigint")).withColumn("n_removed", F.aggregate("removed", F.lit(0).cast("bigint"), lambda a, s: a + s["last"] - s["first"] + 1))
     kept = F.filter(lines, lambda _, i: ~F.exists(F.col("removed"), lambda s: (s["first"] <= i) & (i <= s["last"])))
     out = out.withColumn("text", F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")))

@@ -134,7 +134,7 @@ def training_bags(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[l
             yield pa.record_batch([batch.column(0), pa.array(bags, pa.binary()), batch.column(2)], ["doc_id", "bag", "quality"])
 
     # at most twice per_class rows
-    rows = docs.join(F.broadcast(sample), "doc_id").select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"), F.col("quality").cast("int"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"), F.col("quality").cast("int"))
     got = sorted(rows.mapInArrow(run, "doc_id bigint, bag binary, quality int").collect(), key=lambda r: (r["doc_id"], bytes(r["bag"])))
     return [np.frombuffer(r["bag"], np.float16).reshape(-1, WIDTH).astype(np.float32) for r in got], np.array([r["quality"] for r in got], np.int64)
 

@@ -92,9 +92,9 @@ def mix_to_targets(docs: DataFrame, temperature: dict[str, float] = TEMPERATURE,
     cells = rows.groupBy(name("source").alias("source"), name("lang").alias("lang"), "topic").agg(F.sum("n_tokens").alias("tokens"))
     cells = keep(cells, "mix-cells")
     few = cells.limit(SMALL_CELLS + 1).count() <= SMALL_CELLS
-    fitted = keep(fit_cells(cells, temperature, rounds, few), "mix-fitted").select(F.col("source").alias("c_source"), F.col("lang").alias("c_lang"), F.col("topic").alias("c_topic"), "weight", "probability")
-    on = (name("source") == F.col("c_source")) & (name("lang") == F.col("c_lang")) & (F.col("topic") == F.col("c_topic"))
-    out = rows.join(small_or_plain(fitted, SMALL_CELLS), on, "left").drop("c_source", "c_lang", "c_topic")
+    fitted = keep(fit_cells(cells, temperature, rounds, few), "mix-fitted").select(F.col("source").alias("_tm_source"), F.col("lang").alias("_tm_lang"), F.col("topic").alias("_tm_topic"), "weight", "probability")
+    on = (name("source") == F.col("_tm_source")) & (name("lang") == F.col("_tm_lang")) & (F.col("topic") == F.col("_tm_topic"))
+    out = rows.join(small_or_plain(fitted, SMALL_CELLS), on, "left").drop("_tm_source", "_tm_lang", "_tm_topic")
     return out.withColumn("kept", unit_draw(F.col("doc_id"), seed) < F.col("probability"))
 
 

@@ -69,7 +69,7 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     full = spine.join(counts, "b", "left").na.fill(0, ["raw", "good"])
     rows = full.agg(F.sort_array(F.collect_list(F.struct("b", "raw", "good"))).alias("c"), F.sum("raw").alias("n_raw"), F.sum("good").alias("n_good"))
     smooth = lambda k, n: (k + F.lit(PSEUDO)) / (n + F.lit(PSEUDO * BUCKETS))
-    return rows.select(F.lit(1).alias("k"), F.transform("c", lambda x: F.log(smooth(x["good"], F.col("n_good")) / smooth(x["raw"], F.col("n_raw")))).alias("ratio"))
+    return rows.select(F.lit(1).alias("_tm_k"), F.transform("c", lambda x: F.log(smooth(x["good"], F.col("n_good")) / smooth(x["raw"], F.col("n_raw")))).alias("_tm_ratio"))
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -82,15 +82,15 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     """
     model = fit_ratio(docs, trusted)
     if trusted.limit(1).count() == 0:
-        model = model.select("k", F.transform("ratio", lambda x: F.lit(0.0)).alias("ratio"))
+        model = model.select("_tm_k", F.transform("_tm_ratio", lambda x: F.lit(0.0)).alias("_tm_ratio"))
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept"]
     rest = [c for c in docs.columns if c not in own]
     # the model is one row of a fixed size
-    scored = docs.select(*rest, words_of(F.col("text")).alias("_words"), F.lit(1).alias("k")).join(F.broadcast(model), "k")
-    n = F.size("_words")
-    total = F.aggregate(features(F.col("_words")), F.lit(0.0), lambda acc, b: acc + F.element_at(F.col("ratio"), b + 1))
+    scored = docs.select(*rest, words_of(F.col("text")).alias("_tm_words"), F.lit(1).alias("_tm_k")).join(F.broadcast(model), "_tm_k")
+    n = F.size("_tm_words")
+    total = F.aggregate(features(F.col("_tm_words")), F.lit(0.0), lambda acc, b: acc + F.element_at(F.col("_tm_ratio"), b + 1))
     llr = F.when(n == 0, F.lit(0.0)).otherwise(total / (2 * n))
-    base = base_columns(F.col("text"), F.col("_words"))
+    base = base_columns(F.col("text"), F.col("_tm_words"))
     out = scored.select(*rest, *(c.alias(k) for k, c in base.items()), llr.alias("llr"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))

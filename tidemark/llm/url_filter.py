@@ -116,7 +116,7 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> D
 
     Where a rule fits it decides; else the trees do. Null urls and those without :// have an empty host and path and
     no rule, and the trees judge their features like any other's. Repeated rows are judged alike; columns of
-    ``pages`` with an output's name are replaced; an empty table gives no rows.
+    ``pages`` with an output's name are replaced and those with a feature's name dropped; an empty table gives no rows.
     """
     narrow = url_features(pages.select("url"), rules)
     stats, model, constant = fit(narrow)
