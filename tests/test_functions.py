@@ -106,7 +106,7 @@ def test_us_sections_skip_contents():
 def test_kr_sections(spark):
     page = "회사의 개요 " + "가" * 70 + " 위험 요소 짧음 MD&A " + "나" * 9000
     got = one(spark, T.kr_sections(F.lit(page)))
-    assert got == {"business_overview": "가" * 70, "mda": "나" * 8000}
+    assert got == {"business_overview": "가" * 70, "mda": "나" * 7999}
     assert one(spark, T.kr_sections(F.lit("nothing"))) == {}
 
 

@@ -62,8 +62,8 @@ def trade_balance(spark: SparkSession, sf: str) -> DataFrame:
 def series_bounds(spark: SparkSession, sf: str) -> DataFrame:
     """Bounds from period tokens, and the requested four years cut to them."""
     tokens = A.macro(spark, sf).select("series", F.date_format("date", "yyyyMM").alias("token"))
-    day = D.parse_period(F.col("token"), F.lit("M"))
-    b = macro.series_bounds(tokens, day, day)
+    first = D.parse_period(F.col("token"), F.lit("M"))
+    b = macro.series_bounds(tokens, first, first)
     lo, hi = macro.clamp(D.parse_period(D.period_start_token(day(), F.lit("M")), F.lit("M")), day(), F.col("first_date"), F.col("last_date"))
     return b.select("series", "first_date", "last_date", lo.alias("from_date"), hi.alias("to_date")).where("from_date <= to_date")
 
