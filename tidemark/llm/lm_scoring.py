@@ -24,23 +24,51 @@ def _hashes(text: bytes | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def _summed(keys: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
-    names, at = np.unique(keys, return_inverse=True)
-    return [names, *(np.bincount(at, c, len(names)).astype(np.int64) for c in counts)]
+class Tally:
+    """Counts by key of what a task has seen, summed up whenever PENDING rows wait; so memory follows distinct keys."""
+
+    PENDING = 1_000_000
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.pending = 0
+
+    def add(self, keys: np.ndarray, target: np.ndarray) -> None:
+        names, at = np.unique(keys, return_inverse=True)
+        self.parts.append((names, np.bincount(at, minlength=len(names)), np.bincount(at, target, len(names)).astype(np.int64)))
+        self.pending += len(names)
+        if self.pending > self.PENDING:
+            self.total()
+
+    def total(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if len(self.parts) != 1:
+            keys, n, good = (np.concatenate([p[k] for p in self.parts] or [np.zeros(0, np.int64)]) for k in range(3))
+            names, at = np.unique(keys, return_inverse=True)
+            self.parts = [(names, *(np.bincount(at, c, len(names)).astype(np.int64) for c in (n, good)))]
+        self.pending = 0
+        return self.parts[0]
+
+
+def _give_back() -> None:
+    """Buffers of this task go back to the system: workers live on."""
+    pa.default_memory_pool().release_unused()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """Occurrences of every word in the corpus and in the target, summed within tasks and then over them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 4000):
-                part = batch.slice(lo, 4000)
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
                 words = [_hashes(t) for t in part.column(1).to_pylist()]
-                n = np.array([len(x) for x in words])
-                target = np.repeat(part.column(2).to_numpy(zero_copy_only=False).astype(float), n)
-                names, all_, good = _summed(np.concatenate(words) if words else np.zeros(0, np.uint64), np.ones(len(target)), target)
-                yield pa.record_batch([pa.array(names.view(np.int64)), pa.array(all_), pa.array(good)], ["word", "n", "n_target"])
+                target = np.repeat(part.column(2).to_numpy(zero_copy_only=False).astype(float), [len(x) for x in words])
+                tally.add(np.concatenate(words), target)
+        names, n, good = tally.total()
+        for lo in range(0, len(names), 200_000):
+            yield pa.record_batch([pa.array(x[lo : lo + 200_000].view(np.int64)) for x in (names.astype(np.uint64), n, good)], ["word", "n", "n_target"])
+        _give_back()
 
     counts = docs.select("doc_id", F.col("text").cast("binary"), "is_target").mapInArrow(run, "word bigint, n bigint, n_target bigint")
     return counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
@@ -76,18 +104,24 @@ def _pair_keys(blobs: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pair_counts(tokens: DataFrame, size: int) -> DataFrame:
-    """Bigram counts of each part, in the corpus and in the target."""
+    """Bigram counts of each part as one task sees it, in the corpus and in the target."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tallies: dict[int, Tally] = {}
         for batch in batches:
             parts = batch.column(0).to_numpy()
-            for part in np.unique(parts):
+            for part in np.unique(parts).tolist():
                 rows = batch.filter(pa.array(parts == part))
-                for lo in range(0, rows.num_rows, 8000):
-                    cut = rows.slice(lo, 8000)
+                for lo in range(0, rows.num_rows, 1000):
+                    cut = rows.slice(lo, 1000)
                     keys, n = _pair_keys(cut.column(2).to_pylist(), size)
-                    names, all_, good = _summed(keys, np.ones(len(keys)), np.repeat(cut.column(1).to_numpy(zero_copy_only=False).astype(float), n))
-                    yield pa.record_batch([pa.array(np.full(len(names), part, np.int32)), pa.array(names), pa.array(all_), pa.array(good)], ["part", "key", "n", "n_target"])
+                    tallies.setdefault(part, Tally()).add(keys, np.repeat(cut.column(1).to_numpy(zero_copy_only=False).astype(float), n))
+        for part, tally in tallies.items():
+            names, n, good = tally.total()
+            for lo in range(0, len(names), 200_000):
+                k, a, b = (x[lo : lo + 200_000] for x in (names, n, good))
+                yield pa.record_batch([pa.array(np.full(len(k), part, np.int32)), pa.array(k), pa.array(a), pa.array(b)], ["part", "key", "n", "n_target"])
+        _give_back()
 
     return tokens.select("part", "is_target", "ids").mapInArrow(run, "part int, key bigint, n bigint, n_target bigint")
 
@@ -123,29 +157,31 @@ def lm_scores(docs: DataFrame, target_ids: DataFrame, vocabulary: int = VOCABULA
         own = np.array([r[column] for r in top], np.float64)
         uni.append(np.concatenate([own, [totals[k] - own.sum(), full[k], full[k]]]))
 
-    pairs = pair_counts(tokens, size).groupBy("part", "key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    by_key = Window.partitionBy("key")  # at most one row per part
-    back = keep(pairs, "lm-pairs").select("part", "key", F.sum("n").over(by_key).alias("n"), F.sum("n_target").over(by_key).alias("n_target"))
+    by_key = Window.partitionBy("key")  # at most one row per part and task that reads of it
+    back = keep(pair_counts(tokens, size), "lm-pairs").select("part", "key", F.sum("n").over(by_key).alias("n"), F.sum("n_target").over(by_key).alias("n_target"))
 
     def run(docs_: pa.Table, table_: pa.Table) -> pa.Table:
-        keys, n_keys = _pair_keys(docs_.column("ids").to_pylist(), size)
         names_ = table_.column("key").to_numpy()
         order = np.argsort(names_)
         names_ = names_[order]
         context, word = names_ >> 16, names_ & 0xFFFF
         per = [losses(table_.column(c).to_numpy()[order].astype(float), context, word, u) for c, u in (("n_target", uni[1]), ("n", uni[0]))]
-        at = np.searchsorted(names_, keys)
-        some = n_keys > 0
-        first = np.concatenate([[0], np.cumsum(n_keys)[:-1]])[some]
-        out = []
-        for loss in per:
-            mean = np.full(len(n_keys), np.nan)
-            if some.any():
-                mean[some] = np.add.reduceat(loss[at], first) / n_keys[some]
-            out.append(mean)
-        null = ~some
+        out: list[list[np.ndarray]] = [[], [], []]
+        for lo in range(0, docs_.num_rows, 1000):
+            keys, n_keys = _pair_keys(docs_.column("ids").slice(lo, 1000).to_pylist(), size)
+            at, some = np.searchsorted(names_, keys), n_keys > 0
+            first = np.concatenate([[0], np.cumsum(n_keys)[:-1]])[some]
+            out[2].append(~some)
+            for k, loss in enumerate(per):
+                mean = np.full(len(n_keys), np.nan)
+                if some.any():
+                    mean[some] = np.add.reduceat(loss[at], first) / n_keys[some]
+                out[k].append(mean)
+        target, background, null = (np.concatenate(x) if x else np.zeros(0) for x in out)
+        null = null.astype(bool)
+        _give_back()
         return pa.table({
-            "doc_id": docs_.column("doc_id"), "n_tokens": docs_.column("n_tokens"), "ce_target": pa.array(out[0], mask=null), "ce_background": pa.array(out[1], mask=null), "score": pa.array(out[0] - out[1], mask=null),
+            "doc_id": docs_.column("doc_id"), "n_tokens": docs_.column("n_tokens"), "ce_target": pa.array(target, mask=null), "ce_background": pa.array(background, mask=null), "score": pa.array(target - background, mask=null),
         })
 
     return tokens.groupBy("part").cogroup(back.groupBy("part")).applyInArrow(run, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double")
