@@ -34,12 +34,19 @@ def test_base_counts(spark, odd_docs):
 
 def test_ratio_against_python(spark):
     import math
-    import zlib
+
+    import xxhash
 
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     good = {r.doc_id for r in Q.trusted_ids(spark, SMALL).collect()}
     texts = {r.doc_id: WORD.findall(r.text or "") for r in docs.collect()}
-    feats = {d: [zlib.crc32(("<" + x[:3]).encode()) % Q.BUCKETS for x in w] + [zlib.crc32((">" + x[-3:]).encode()) % Q.BUCKETS for x in w] for d, w in texts.items()}
+    half = Q.BUCKETS // 2
+
+    def bucket(gram):
+        h = xxhash.xxh64_intdigest(gram.encode(), 42)
+        return (h - (1 << 64) if h >> 63 else h) % half
+
+    feats = {d: [bucket(x[:3]) for x in w] + [bucket(x[-3:]) + half for x in w] for d, w in texts.items()}
     raw, tgt = collections.Counter(), collections.Counter()
     for d, f in feats.items():
         raw.update(f)

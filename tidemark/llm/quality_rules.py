@@ -50,10 +50,11 @@ def base_columns(text: Column, words: Column) -> dict[str, Column]:
     }
 
 
-def features(words: Column) -> Column:
-    """Bucket ids of a text's n-grams: the first and the last three characters of every word, hashed with their side."""
-    bucket = lambda side, gram: F.pmod(F.crc32(F.concat(F.lit(side), gram).cast("binary")), F.lit(BUCKETS)).cast("int")
-    return F.concat(F.transform(words, lambda w: bucket("<", F.left(w, F.lit(3)))), F.transform(words, lambda w: bucket(">", F.right(w, F.lit(3)))))
+def features(word: Column) -> tuple[Column, Column]:
+    """Bucket numbers of a word's two n-grams: its first three characters in the lower half, its last three in the upper."""
+    half = BUCKETS // 2
+    bucket = lambda gram: F.pmod(F.xxhash64(gram), F.lit(half)).cast("int")
+    return bucket(F.left(word, F.lit(3))), bucket(F.right(word, F.lit(3))) + half
 
 
 def fit_ratio(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -63,7 +64,10 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """
     marked = docs.select("doc_id", words_of(F.col("text")).alias("words"))
     ids = small_or_plain(trusted.select(F.col("doc_id").alias("t_id")).where("doc_id is not null").distinct())
-    marked = marked.join(ids, F.col("doc_id") == F.col("t_id"), "left").select(F.col("t_id").isNotNull().cast("bigint").alias("t"), F.explode(features(F.col("words"))).alias("b"))
+    marked = marked.join(ids, F.col("doc_id") == F.col("t_id"), "left").select(F.col("t_id").isNotNull().cast("bigint").alias("t"), F.explode("words").alias("w"))
+    # a word's two features become two rows inside generated code
+    head, tail = features(F.col("w"))
+    marked = marked.select("t", head.alias("b1"), tail.alias("b2")).select("t", F.stack(F.lit(2), "b1", "b2").alias("b"))
     counts = marked.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("good"))
     spine = docs.sparkSession.range(0, BUCKETS, 1, 1).select(F.col("id").cast("int").alias("b"))
     full = spine.join(counts, "b", "left").na.fill(0, ["raw", "good"])
@@ -88,7 +92,8 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     # the model is one row of a fixed size
     scored = docs.select(*rest, words_of(F.col("text")).alias("_tm_words"), F.lit(1).alias("_tm_k")).join(F.broadcast(model), "_tm_k")
     n = F.size("_tm_words")
-    total = F.aggregate(features(F.col("_tm_words")), F.lit(0.0), lambda acc, b: acc + F.element_at(F.col("_tm_ratio"), b + 1))
+    ratio = lambda b: F.get(F.col("_tm_ratio"), b)
+    total = F.aggregate("_tm_words", F.lit(0.0), lambda acc, w: acc + ratio(features(w)[0]) + ratio(features(w)[1]))
     llr = F.when(n == 0, F.lit(0.0)).otherwise(total / (2 * n))
     base = base_columns(F.col("text"), F.col("_tm_words"))
     out = scored.select(*rest, *(c.alias(k) for k, c in base.items()), llr.alias("llr"))
