@@ -80,7 +80,8 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
         )
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # texts break ties, so that every attempt of a task writes the same bytes
+    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     manifest = keep(ordered.mapInArrow(run, _MANIFEST), "token-manifest")
     # one row per part meets in one task
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
