@@ -65,17 +65,18 @@ def connected_components(edges: DataFrame, what: str = "components", most_rounds
     a, b = F.col("a"), F.col("b")
     edges = edges.where(a.isNotNull() & b.isNotNull() & (a != b))
     cur = keep(edges.select(F.greatest(a, b).alias("x"), F.least(a, b).alias("y")).distinct(), what)
-    mark = None
+    state = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
+    mark = state(cur)
     for _ in range(most_rounds):
         both = cur.select(F.col("x").alias("u"), F.col("y").alias("v")).union(cur.select("y", "x"))
         low = both.groupBy("u").agg(F.min("v").alias("low"))
         low = low.select("u", F.least("u", "low").alias("m"))
         large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("x"), F.col("m").alias("y"))
-        large = large.where("x <> y").distinct()
+        large = large.where("x <> y")
         low2 = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(low2, "x").where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
         nxt = keep(small.union(low2.select("x", F.col("m").alias("y"))).distinct(), what)
-        now = nxt.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
+        now = state(nxt)
         cur = nxt
         if now == mark:
             break
