@@ -4,6 +4,7 @@ import re
 from tests.conftest import SMALL
 from tidemark.llm import line_dedup as L
 from tidemark.llm import quality_rules as Q
+from tidemark.llm.passage_dedup import passage_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -115,3 +116,51 @@ def test_lines_edges(spark, odd_docs, no_docs):
     assert len(got) == odd_docs.count()
     by = {r.doc_id: r for r in got}
     assert by[6].text == "head\n\ntail" and by[2].text is None and by[8].n_removed == 0
+
+
+def brute_words(docs, least):
+    """Deleted words of every document: those in runs that occur earlier."""
+    seen, out = {}, {}
+    for d, t in docs:
+        w, gone = (t or "").encode().split(), set()
+        for i in range(len(w) - least + 1):
+            if seen.setdefault(tuple(w[i : i + least]), (d, i)) != (d, i):
+                gone.update(range(i, i + least))
+        out[d] = [x for i, x in enumerate(w) if i not in gone]
+    return out
+
+
+def test_passages_inside_lines(spark):
+    p = [f"p{i}" for i in range(54)]
+    one, broken = " ".join(p), "\n".join(" ".join(p[i : i + 11]) for i in range(0, 54, 11))
+    rows = [
+        (1, f"a b {one} c d"), (2, f"e {one} f\ng"), (3, f"h\ni j {broken} k l\nm"), (4, " ".join(p[:49]) + " n"), (5, f"{one} q {broken}"), (6, "r " * 130), (7, f"s\n{broken}\n\n t"),
+    ]
+    got = {r.doc_id: r for r in passage_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    want = brute_words(rows, 50)
+    assert {d: (r.text or "").encode().split() for d, r in got.items()} == want
+    assert got[2].text == "e f\ng" and got[3].text == "h\ni j\nk l\nm" and got[4].n_removed == 0 and got[7].text == "s\n\n t"
+    assert len(want[6]) == 1 and got[6].n_removed == 129
+
+
+def test_words_against_brute_force(spark, odd_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(10**6 + r.doc_id, " ".join(["x", *(r.text or "").split()[7:90], "y"])) for r in docs.where("doc_id < 60").collect()], "doc_id bigint, text string")
+    rows = docs.union(extra)
+    got = {r.doc_id: (r.text or "").encode().split() for r in passage_dedup(rows).collect()}
+    assert got == brute_words(sorted((r.doc_id, r.text) for r in rows.collect()), L.MIN_WORDS)
+
+
+def test_query_sees_passages_inside_lines(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    want = brute_words(sorted((r.doc_id, r.text) for r in docs.collect()), L.MIN_WORDS)
+    gone = {r.doc_id: len((r.text or "").encode().split()) - len(want[r.doc_id]) for r in docs.collect()}
+    assert {r.doc_id: r.n_removed for r in L.query(spark, SMALL).collect()} == gone and any(gone.values())
+
+
+def test_passages_edges(spark, odd_docs, no_docs):
+    assert passage_dedup(no_docs).count() == 0
+    got = passage_dedup(odd_docs).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == odd_docs.count() and by[6].text == "head\n\ntail" and by[2].text is None and by[8].n_removed == 0
+    assert by[7].text == "x" and len(by[5].text.split()) == 977 and by[5].n_chars == len(by[5].text)

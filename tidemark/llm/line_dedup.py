@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.passage_dedup import passage_dedup
 from tidemark.llm.shared import BLANKS, keep, small_or_plain, table
 
 #: A run of lines counts as a passage from this many words on.
@@ -123,7 +124,7 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = passage_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.transform("removed", lambda s: F.array(s["first"], s["last"])).alias("removed"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
 
 
