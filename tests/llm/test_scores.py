@@ -86,6 +86,16 @@ def test_lm_against_brute_force(spark, odd_docs, no_docs):
     assert S.lm_scores(no_docs, no_docs.select("doc_id")).count() == 0
 
 
+def test_lm_keeps_every_word(spark):
+    """More words than 16-bit numbers hold, all of which have their own counts."""
+    texts = [" ".join(f"w{i * 700 + j}" for j in range(700)) for i in range(100)] + ["w69999 w69998 w1", "w0 w1 w2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    target = {3, 100}
+    got = sorted((r.doc_id, r.n_tokens, r.ce_target, r.ce_background) for r in S.lm_scores(docs, spark.createDataFrame([(t,) for t in target], "doc_id bigint")).collect())
+    for g, w in zip(got, sorted(lm_brute(list(enumerate(texts)), target, None)), strict=True):
+        assert g[:2] == w[:2] and close(g[2], w[2]) and close(g[3], w[3])
+
+
 def test_mix_matches_sql(spark, duck):
     got = sorted(tuple(r) for r in X.query(spark, SMALL).collect())
     want = sorted(duck.sql(f"SELECT doc_id, source, lang, topic, n_tokens, weight, probability, kept FROM ({X.SQL['op10_mix_to_targets']})").fetchall())

@@ -8,14 +8,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import keep, small_or_plain, table
 
-#: Most words of the shared vocabulary (the most frequent of the corpus); all others are one unknown word.
-VOCABULARY = 32_768
+#: Keys of a text's start and end and of the unknown word (of a vocabulary that was asked to be small).
+START, END, UNKNOWN = (xxhash.xxh3_64_intdigest(x, 4) for x in (b"start", b"end", b"unknown"))
+#: A bigram's key is its context's key times this, plus its word's, modulo 2^64.
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: A count's bits in a row of part, count and count in the target; larger counts are sent in several rows.
+_BITS = 20
 #: Weight of the unigram model in a bigram's probability, and the pseudo-count of every word.
 BACKOFF, PSEUDO = 20.0, 1.0
 
@@ -25,6 +28,30 @@ def _hashes(text: bytes | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+def _sequences(texts: list[bytes | None], known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word keys of all texts between a start and an end, whether each is a text's start, and the keys of each text (0 or words + 2)."""
+    start, end = (np.array([x], np.uint64) for x in (START, END))
+    parts, n = [], []
+    for text in texts:
+        words = _hashes(text)
+        if len(words):
+            parts += [start, words, end]
+        n.append(len(words) + 2 if len(words) else 0)
+    flat, sizes = np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.array(n, np.int64)
+    first = np.zeros(len(flat), bool)
+    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    if known is not None and len(flat):
+        inner = ~first
+        inner[(np.cumsum(sizes) - 1)[sizes > 0]] = False
+        flat[inner & ~np.isin(flat, known)] = UNKNOWN
+    return flat, first, sizes
+
+
+def _pairs(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Keys of the bigrams that end at each key but a text's first."""
+    return (flat[:-1] * _STEP + flat[1:])[~first[1:]]
+
+
 class Tally:
     """Counts by key of what a task has seen, summed up whenever PENDING rows wait; so memory follows distinct keys."""
 
@@ -58,16 +85,17 @@ def _give_back() -> None:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """Occurrences of every word in the corpus and in the target, summed within tasks and then over them."""
+    """Occurrences of every word, and START once a text with words, in the corpus and in the target, summed within tasks and then over them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally()
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                words = [_hashes(t) for t in part.column(1).to_pylist()]
-                target = np.repeat(part.column(2).to_numpy(zero_copy_only=False).astype(float), [len(x) for x in words])
-                tally.add(np.concatenate(words), target)
+                flat, _, sizes = _sequences(part.column(1).to_pylist(), None)
+                target = np.repeat(part.column(2).to_numpy(zero_copy_only=False).astype(float), sizes)
+                inner = flat != END
+                tally.add(flat[inner], target[inner])
         names, n, good = tally.total()
         for lo in range(0, len(names), 200_000):
             yield pa.record_batch([pa.array(x[lo : lo + 200_000].view(np.int64)) for x in (names.astype(np.uint64), n, good)], ["word", "n", "n_target"])
@@ -77,117 +105,108 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
 
-def numbered(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """Word numbers of every document with the number of the scan's partition; len(vocabulary) is the unknown word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, size = TaskContext.get().partitionId(), len(vocabulary)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                cut = batch.slice(lo, 1000)
-                words = [_hashes(t) for t in cut.column(1).to_pylist()]
-                n = np.array([len(x) for x in words], np.int64)
-                flat = np.concatenate(words) if words else np.zeros(0, np.uint64)
-                at = np.minimum(np.searchsorted(vocabulary, flat), max(size - 1, 0))
-                ids = (np.where(vocabulary[at] == flat, at, size) if size else np.zeros(len(flat))).astype("<u2")
-                ends = np.cumsum(n)
-                blobs = [ids[e - k : e].tobytes() for e, k in zip(ends, n, strict=True)]
-                yield pa.record_batch([pa.array(np.full(len(n), part, np.int32)), cut.column(0), pa.array(n), cut.column(2), pa.array(blobs, pa.binary())], ["part", "doc_id", "n_tokens", "is_target", "ids"])
-
-    return docs.select("doc_id", F.col("text").cast("binary"), "is_target").mapInArrow(run, "part int, doc_id bigint, n_tokens bigint, is_target boolean, ids binary")
-
-
-def _pair_keys(blobs: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys context * 2^16 + word of all documents with a start (size+1) and an end (size+2), and their number in each."""
-    out = []
-    for b in blobs:
-        ids = np.frombuffer(b, "<u2").astype(np.int64)
-        out.append((np.concatenate([[size + 1], ids]) << 16) + np.concatenate([ids, [size + 2]]) if len(ids) else ids)
-    return np.concatenate(out) if out else np.zeros(0, np.int64), np.array([len(x) for x in out], np.int64)
-
-
-def pair_counts(tokens: DataFrame, size: int) -> DataFrame:
-    """Bigram counts of each part as one task sees it, in the corpus and in the target."""
+def key_counts(parts: DataFrame, known: np.ndarray | None) -> DataFrame:
+    """Counts of each part's words and bigrams as one task sees them, in the corpus and in the target."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies: dict[int, Tally] = {}
         for batch in batches:
-            parts = batch.column(0).to_numpy()
-            for part in np.unique(parts).tolist():
-                rows = batch.filter(pa.array(parts == part))
+            of = batch.column(0).to_numpy()
+            for part in np.unique(of).tolist():
+                rows = batch.filter(pa.array(of == part))
                 for lo in range(0, rows.num_rows, 1000):
                     cut = rows.slice(lo, 1000)
-                    keys, n = _pair_keys(cut.column(2).to_pylist(), size)
-                    tallies.setdefault(part, Tally()).add(keys, np.repeat(cut.column(1).to_numpy(zero_copy_only=False).astype(float), n))
-        for part, tally in tallies.items():
-            names, n, good = tally.total()
+                    flat, first, sizes = _sequences(cut.column(2).to_pylist(), known)
+                    target = np.repeat(cut.column(1).to_numpy(zero_copy_only=False).astype(float), sizes)
+                    tallies.setdefault(part, Tally()).add(np.concatenate([flat, _pairs(flat, first)]), np.concatenate([target, target[~first]]))
+        for part in sorted(tallies):
+            names, n, good = tallies.pop(part).total()
             for lo in range(0, len(names), 200_000):
-                k, a, b = (x[lo : lo + 200_000] for x in (names, n, good))
-                yield pa.record_batch([pa.array(np.full(len(k), part, np.int32)), pa.array(k), pa.array(a), pa.array(b)], ["part", "key", "n", "n_target"])
+                k, a, b = (x[lo : lo + 200_000] for x in (names.astype(np.uint64).view(np.int64), n, good))
+                while len(k):
+                    now_a, now_b = (np.minimum(x, (1 << _BITS) - 1) for x in (a, b))
+                    yield pa.record_batch([pa.array(k), pa.array((part << 2 * _BITS) + (now_a << _BITS) + now_b)], ["key", "info"])
+                    more = a > now_a  # no count in the target is larger than the count
+                    k, a, b = k[more], (a - now_a)[more], (b - now_b)[more]
         _give_back()
 
-    return tokens.select("part", "is_target", "ids").mapInArrow(run, "part int, key bigint, n bigint, n_target bigint")
+    return parts.select("part", "is_target", F.col("text").cast("binary")).mapInArrow(run, "key bigint, info bigint")
 
 
-def losses(n: np.ndarray, context: np.ndarray, word: np.ndarray, unigrams: np.ndarray) -> np.ndarray:
-    """Negative log probability of bigrams seen ``n`` times, backed off to smoothed unigrams."""
-    p = (unigrams + PSEUDO) / (unigrams.sum() + PSEUDO * len(unigrams))
-    return -np.log((n + BACKOFF * p[word]) / (unigrams[context] + BACKOFF))
-
-
-def lm_scores(docs: DataFrame, target_ids: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
+def lm_scores(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None) -> DataFrame:
     """doc_id, n_tokens, ce_target, ce_background and score (their difference; low is like the target) for every row.
 
     The background is all of ``docs``, the target its rows whose doc_id is in ``target_ids``; both models have the same
-    vocabulary, order and smoothing. Counts cover all documents: each part of the corpus sends its distinct bigrams,
-    gets their totals back, and scores its own documents, so neither a model nor a vocabulary beyond its fixed size is
-    broadcast. Texts that are null or without words have null cross-entropies; null doc_ids are never target; repeated
-    rows count and score as often as they occur; an empty table gives no rows; other columns are ignored.
+    vocabulary, order and smoothing. Every word of the corpus counts; with ``vocabulary`` only so many of the most
+    frequent do and all others are one unknown word. Counts cover all documents: each part of the corpus sends its
+    distinct words and bigrams (as 64-bit hashes), gets their totals back, and scores its own documents, so no model
+    and, unless asked for, no vocabulary is collected or broadcast. Texts that are null or without words have null
+    cross-entropies; null doc_ids are never target; repeated rows count and score as often as they occur; an empty table
+    gives no rows; other columns are ignored.
     """
     ids = small_or_plain(target_ids.select(F.col("doc_id").cast("bigint").alias("t_id")).where("t_id is not null").distinct())
     marked = docs.select(F.col("doc_id").cast("bigint"), "text").join(ids, F.col("doc_id") == F.col("t_id"), "left")
     marked = marked.select("doc_id", "text", F.col("t_id").isNotNull().alias("is_target"))
-    counts = keep(word_counts(marked), "lm-words")
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0))).first()
-    # VOCABULARY rows at most
-    top = sorted(counts.orderBy(F.desc("n"), "word").limit(min(vocabulary, (1 << 16) - 4)).collect(), key=lambda r: r["word"] % (1 << 64))
-    names = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-    size = len(names)
-    tokens = keep(numbered(marked, names), "lm-tokens")
-    full = tokens.where("n_tokens > 0").agg(F.count("*"), F.count_if("is_target")).first()
-    uni = []
-    for k, column in enumerate(("n", "n_target")):
-        own = np.array([r[column] for r in top], np.float64)
-        uni.append(np.concatenate([own, [totals[k] - own.sum(), full[k], full[k]]]))
-
-    by_key = Window.partitionBy("key")  # at most one row per part and task that reads of it
-    back = keep(pair_counts(tokens, size), "lm-pairs").select("part", "key", F.sum("n").over(by_key).alias("n"), F.sum("n_target").over(by_key).alias("n_target"))
+    counts = word_counts(marked)
+    if vocabulary is not None:
+        counts = keep(counts, "lm-words")
+    start = F.col("word") == F.lit(START - (1 << 64) if START >> 63 else START)
+    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "n_target", F.when(start, F.col("n")), F.when(start, F.col("n_target")))]
+    seen = counts.agg(*sums, F.count_if(~start)).first()
+    words, known = seen[4], None
+    if vocabulary is not None:
+        top = counts.where(~start).orderBy(F.desc("n"), "word").limit(vocabulary).collect()
+        known, words = np.array([r["word"] for r in top], np.int64).view(np.uint64), len(top)
+    totals = {"n": seen[0] + seen[2], "n_target": seen[1] + seen[3]}  # each text has an end, too
+    parts = keep(marked.select(F.spark_partition_id().alias("part"), "doc_id", "is_target", "text"), "lm-parts")
+
+    # what one part alone has it knows itself: only the totals of shared keys go back
+    by_key = Window.partitionBy("key")  # at most one row per part and task that reads of it, but for very large counts
+    low = (1 << _BITS) - 1
+    sent = key_counts(parts, known).withColumn("part", F.shiftright("info", 2 * _BITS).cast("int"))
+    n, n_target = F.shiftright("info", _BITS).bitwiseAND(F.lit(low)), F.col("info").bitwiseAND(F.lit(low))
+    back = sent.select("part", "key", F.count("*").over(by_key).alias("rows"), F.sum(n).over(by_key).alias("n"), F.sum(n_target).over(by_key).alias("n_target")).where("rows > 1").drop("rows")
 
     def run(docs_: pa.Table, table_: pa.Table) -> pa.Table:
-        names_ = table_.column("key").to_numpy()
-        order = np.argsort(names_)
-        names_ = names_[order]
-        context, word = names_ >> 16, names_ & 0xFFFF
-        per = [losses(table_.column(c).to_numpy()[order].astype(float), context, word, u) for c, u in (("n_target", uni[1]), ("n", uni[0]))]
-        out: list[list[np.ndarray]] = [[], [], []]
+        tally = Tally()
+        for lo in range(0, docs_.num_rows, 1000):
+            cut = docs_.slice(lo, 1000)
+            flat, first, sizes = _sequences(cut.column("text").to_pylist(), known)
+            target = np.repeat(cut.column("is_target").to_numpy().astype(float), sizes)
+            tally.add(np.concatenate([flat, _pairs(flat, first)]), np.concatenate([target, target[~first]]))
+        names, *own_counts = tally.total()
+        names = names.astype(np.uint64)
+        at = np.searchsorted(names, table_.column("key").to_numpy().view(np.uint64))
+        counts_ = dict(zip(("n", "n_target"), own_counts, strict=True))
+        for c in counts_:
+            counts_[c][at] = table_.column(c).to_numpy()
+        out: list[list[np.ndarray]] = [[], [], [], []]
         for lo in range(0, docs_.num_rows, 1000):
-            keys, n_keys = _pair_keys(docs_.column("ids").slice(lo, 1000).to_pylist(), size)
-            at, some = np.searchsorted(names_, keys), n_keys > 0
-            first = np.concatenate([[0], np.cumsum(n_keys)[:-1]])[some]
+            flat, first, sizes = _sequences(docs_.column("text").slice(lo, 1000).to_pylist(), known)
+            some = sizes > 0
+            n_pairs = sizes[some] - 1
             out[2].append(~some)
-            for k, loss in enumerate(per):
-                mean = np.full(len(n_keys), np.nan)
+            out[3].append(np.maximum(sizes - 2, 0))
+            own, at_word = np.unique(flat, return_inverse=True)
+            at_own, at_pair = np.searchsorted(names, own), np.searchsorted(names, _pairs(flat, first))
+            context, word = at_word[:-1][~first[1:]], at_word[~first]
+            for k, c in enumerate(("n_target", "n")):
+                mean = np.full(len(sizes), np.nan)
                 if some.any():
-                    mean[some] = np.add.reduceat(loss[at], first) / n_keys[some]
+                    unigrams = counts_[c][at_own].astype(float)
+                    p = (unigrams + PSEUDO) / (totals[c] + PSEUDO * (words + 3))
+                    loss = -np.log((counts_[c][at_pair] + BACKOFF * p[word]) / (unigrams[context] + BACKOFF))
+                    mean[some] = np.add.reduceat(loss, np.cumsum(n_pairs) - n_pairs) / n_pairs
                 out[k].append(mean)
-        target, background, null = (np.concatenate(x) if x else np.zeros(0) for x in out)
+        target, background, null, n_tokens = (np.concatenate(x) if x else np.zeros(0) for x in out)
         null = null.astype(bool)
         _give_back()
         return pa.table({
-            "doc_id": docs_.column("doc_id"), "n_tokens": docs_.column("n_tokens"), "ce_target": pa.array(target, mask=null), "ce_background": pa.array(background, mask=null), "score": pa.array(target - background, mask=null),
+            "doc_id": docs_.column("doc_id"), "n_tokens": pa.array(n_tokens.astype(np.int64)), "ce_target": pa.array(target, mask=null), "ce_background": pa.array(background, mask=null), "score": pa.array(target - background, mask=null),
         })
 
-    return tokens.groupBy("part").cogroup(back.groupBy("part")).applyInArrow(run, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double")
+    texts_ = parts.select("part", "doc_id", "is_target", F.col("text").cast("binary").alias("text"))
+    return texts_.groupBy("part").cogroup(back.groupBy("part")).applyInArrow(run, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
