@@ -37,3 +37,15 @@ def test_runs(spark, name):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
+
+
+def test_sections_of_short_and_long_texts(spark, tmp_path):
+    """Every document has a row; only the operators' own gates (60 and 300 characters) leave sections out."""
+    sizes = {0: None, 1: 0, 2: 1, 3: 60, 4: 61, 5: 99, 6: 300, 7: 301, 8: 400, 9: 3000, 10: 3001, 11: 7999, 12: 8000, 13: 8001, 14: 200_000}
+    word = lambda n: ("abcdefghi " * (n // 10 + 1))[: max(n - 1, 0)] + "z" * (n > 0)
+    spark.createDataFrame([(d, None if n is None else word(n)) for d, n in sizes.items()], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name, least, chars, cut in (("filing_sections", 300, "risk_chars", 8000), ("kr_filing_sections", 60, "mda_chars", 7999)):
+        got = {r.doc_id: (r.n, r.business_chars, r[chars]) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+        gate = lambda n, most: min(n, most) if min(n, most) > least else None  # noqa: E731, B023
+        want = {d: (gate(n or 0, 8000), gate(n or 0, cut)) for d, n in sizes.items()}
+        assert got == {d: (sum(x is not None for x in w), *w) for d, w in want.items()}

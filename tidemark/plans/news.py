@@ -146,13 +146,13 @@ def filing_text_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 def filing_sections(spark: SparkSession, sf: str) -> DataFrame:
     """Sections of annual reports made of document texts under headings, contents entries first."""
-    d = A.table(spark, sf, "documents").where("length(text) > 400")
+    d = A.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     page = F.concat(F.lit("<p>Item 1. Business</p>\n<p>Item 1A. Risk Factors</p>\n<h2>Item 1. Business</h2>\n"), "text", F.lit("\n<h2>Item 1A. Risk Factors</h2>\n"), "text", F.lit("\nItem 8. End"))
     return d.select("doc_id", T.us_sections(page).alias("s")).select("doc_id", F.size("s").alias("n"), F.length(F.col("s")["business_overview"]).alias("business_chars"), F.length(F.col("s")["risks"]).alias("risk_chars"))
 
 
 def kr_filing_sections(spark: SparkSession, sf: str) -> DataFrame:
-    d = A.table(spark, sf, "documents").where("length(text) between 100 and 3000")
+    d = A.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     one = F.regexp_replace("text", r"[<>&\s]+", " ")
     page = F.concat(F.lit("<b>사업의 내용</b>"), one, F.lit("<b>위험 요소</b> short"), F.lit("<b>MD&amp;A</b>"), one)
     return d.select("doc_id", T.kr_sections(page).alias("s")).select("doc_id", F.size("s").alias("n"), F.length(F.col("s")["business_overview"]).alias("business_chars"), F.length(F.col("s")["mda"]).alias("mda_chars"))
