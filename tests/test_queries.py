@@ -49,3 +49,23 @@ def test_sections_of_short_and_long_texts(spark, tmp_path):
         gate = lambda n, most: min(n, most) if min(n, most) > least else None  # noqa: E731, B023
         want = {d: (gate(n or 0, 8000), gate(n or 0, cut)) for d, n in sizes.items()}
         assert got == {d: (sum(x is not None for x in w), *w) for d, w in want.items()}
+
+
+def test_indicators_start_before_the_returned_bars(spark, monkeypatch):
+    """The 60 returned bars follow 240 earlier ones: averages are seeded there and no rate of change is missing."""
+    from datetime import date, timedelta
+
+    from tidemark.plans import market
+
+    closes = [100.0 + (i * 37 % 101) / 3 for i in range(400)]
+    rows = [(1, date(1998, 1, 1) + timedelta(i), c, c + 1, c - 1) for i, c in enumerate(closes)]
+    monkeypatch.setattr(market.A, "prices", lambda *_: spark.createDataFrame(rows, "ticker bigint, date date, close double, high double, low double"))
+    got = sorted(market.technical_indicator_bars(spark, SMALL).collect(), key=lambda r: r.date)
+    assert [r.date for r in got] == [r[1] for r in rows[-60:]]
+    fast = slow = closes[100]
+    macd = [0.0]
+    for c in closes[101:]:
+        fast, slow = fast + 2 / 13 * (c - fast), slow + 2 / 27 * (c - slow)
+        macd.append(fast - slow)
+    for r, m, i in zip(got, macd[-60:], range(340, 400), strict=True):
+        assert abs(r.macd - m) < 1e-5 and abs(r.roc_20 - (closes[i] / closes[i - 20] * 100 - 100)) < 1e-5 and r.bb_mid is not None

@@ -131,8 +131,9 @@ def price_source_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def technical_indicator_bars(spark: SparkSession, sf: str) -> DataFrame:
-    """Windowed indicators of each ticker's last 60 known bars (moving bands and rates of change)."""
-    bars = macro.technical_indicators(asof.latest_n(asof.as_of_cut(A.prices(spark, sf), day()), ["ticker"], [F.desc("date")], 60))
+    """Windowed indicators (moving bands and rates of change) over each ticker's last 300 known bars; the last 60 are returned."""
+    known = asof.latest_n(asof.as_of_cut(A.prices(spark, sf), day()), ["ticker"], [F.desc("date")], 300)
+    bars = asof.latest_n(macro.technical_indicators(known), ["ticker"], [F.desc("date")], 60)
     cols = {"roc_5": 6, "roc_20": 6, "bb_mid": 6, "stoch_k": 6, "macd": 6, "rsi_14": 6}
     return bars.select("ticker", "date", *(F.round(c, k).alias(c) for c, k in cols.items()))
 
