@@ -31,6 +31,15 @@ def test_passages():
     assert len(M.encode_passages(b"a")) == 1
 
 
+def test_training_sees_all_passages(spark):
+    texts = {1: "a few words", 4: " ".join(f"v{i % 977}" for i in range(30_000))}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    bags, quality = M.training_bags(docs, spark.createDataFrame([(1, 1), (4, 0)], "doc_id bigint, quality int"), 10)
+    assert quality.tolist() == [1, 0] and [len(b) for b in bags] == [1, 625]
+    for bag, text in zip(bags, texts.values(), strict=True):
+        assert np.array_equal(bag, M.encode_passages(text.encode()).astype(np.float16))
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     got = M.query(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id").where("held_out").collect()

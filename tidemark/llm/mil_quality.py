@@ -14,8 +14,8 @@ from tidemark.llm.shared import table
 
 #: Words of a passage, hashed trigram features, hidden units, attention units.
 PASSAGE_WORDS, HASHED, HIDDEN, ATTENTION = 48, 512, 24, 16
-#: Most labelled documents of each class that the model is fitted on, and most passages of each (evenly spaced).
-MOST_PER_CLASS, MOST_PASSAGES = 1000, 16
+#: Most labelled documents of each class that the model is fitted on, with all of their passages.
+MOST_PER_CLASS = 1000
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 3e-3, 1e-4
 KEEP = 0.7
 #: Byte classes whose shares are features: capitals, symbols, digits, beyond ASCII, other punctuation.
@@ -119,24 +119,20 @@ def held_out(doc_id):
 
 
 def training_bags(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Passages of a bounded, balanced sample of the labelled documents that are not held out, first by a hash of the id."""
+    """All passages of a bounded, balanced sample of the labelled documents that are not held out, first by a hash of the id."""
     usable = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     picks = [usable.where(F.col("quality") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
     sample = picks[0].union(picks[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags = []
-            for text in batch.column(1).to_pylist():
-                x = encode_passages(text)
-                at = np.unique(np.linspace(0, len(x) - 1, min(len(x), MOST_PASSAGES)).round().astype(int))
-                bags.append(x[at].astype(np.float16).tobytes())
+            bags = [encode_passages(text).astype(np.float16).tobytes() for text in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(bags, pa.binary()), batch.column(2)], ["doc_id", "bag", "quality"])
 
     # at most twice per_class rows
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"), F.col("quality").cast("int"))
     got = sorted(rows.mapInArrow(run, "doc_id bigint, bag binary, quality int").collect(), key=lambda r: (r["doc_id"], bytes(r["bag"])))
-    return [np.frombuffer(r["bag"], np.float16).reshape(-1, WIDTH).astype(np.float32) for r in got], np.array([r["quality"] for r in got], np.int64)
+    return [np.frombuffer(r["bag"], np.float16).reshape(-1, WIDTH) for r in got], np.array([r["quality"] for r in got], np.int64)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = MOST_PER_CLASS) -> DataFrame:
