@@ -170,6 +170,15 @@ def test_trees_learn_the_labels(spark):
     assert hit / lab.count() > 0.85
 
 
+def test_every_suffix_has_statistics(spark):
+    rules = [(f"h.s{i}", "", "allow" if i % 2 else "block") for i in range(80)]
+    urls = [(f"x://h.s{i}/{k}",) for i in range(80) for k in range(2)]
+    rows = U.url_features(spark.createDataFrame(urls, "url string"), rules)
+    stats, _, _ = U.fit(rows)
+    got = {(r.suffix, r.suffix_share, r.suffix_allow) for r in U.with_suffix_statistics(rows, stats).collect()}
+    assert got == {(f"s{i}", 2 / 160, 0.75 if i % 2 else 0.25) for i in range(80)}
+
+
 def test_urls_without_labels(spark):
     assert U.url_filter(spark.createDataFrame([], "page_id bigint, url string")).count() == 0
     one = U.url_filter(spark.createDataFrame([(1, "x://y.net/a")], "page_id bigint, url string")).first()

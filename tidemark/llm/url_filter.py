@@ -7,12 +7,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import keep, let, table
+from tidemark.llm.shared import keep, let, small_or_plain, table
 
 #: (host, path, verdict); a rule holds for its host and all subdomains.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 #: Trees, their depth, the most labelled urls that they are fitted on, and suffixes with statistics of their own.
-TREES, DEPTH, MOST_LABELLED, MOST_SUFFIXES = 12, 3, 20_000, 64
+TREES, DEPTH, MOST_LABELLED = 12, 3, 20_000
 FEATURES = ["url_length", "host_length", "path_length", "depth", "host_labels", "digit_ratio", "entropy", "n_params", "param_length", "has_fragment", "n_hyphens", "suffix_share", "suffix_allow"]
 
 
@@ -83,23 +83,23 @@ def url_features(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) ->
     return ruled.select("*", *(c.alias(k) for k, c in lexical(F.col("url"), F.col("host"), F.col("path")).items()), suffix_of(F.col("host")).alias("suffix"))
 
 
-def with_suffix_statistics(rows: DataFrame, stats: list[tuple[str, float, float]]) -> DataFrame:
+def with_suffix_statistics(rows: DataFrame, stats: DataFrame) -> DataFrame:
     """Each suffix's share of all urls and of allow among its labelled ones; others get 0 and one half."""
-    share = F.create_map(*(F.lit(x) for s, a, _ in stats for x in (s, a))) if stats else F.create_map().cast("map<string,double>")
-    allow = F.create_map(*(F.lit(x) for s, _, b in stats for x in (s, b))) if stats else F.create_map().cast("map<string,double>")
-    return rows.withColumn("suffix_share", F.coalesce(share[F.col("suffix")], F.lit(0.0))).withColumn("suffix_allow", F.coalesce(allow[F.col("suffix")], F.lit(0.5)))
+    found = rows.join(small_or_plain(stats, 100_000), F.col("suffix") == F.col("_tm_suffix"), "left")
+    return found.withColumn("suffix_share", F.coalesce("_tm_share", F.lit(0.0))).withColumn("suffix_allow", F.coalesce("_tm_allow", F.lit(0.5))).drop("_tm_suffix", "_tm_share", "_tm_allow")
 
 
-def fit(rows: DataFrame) -> tuple[list[tuple[str, float, float]], GBTClassificationModel | None, float]:
-    """Suffix statistics over all urls (the MOST_SUFFIXES most frequent), the trees, and the verdict without trees.
+def fit(rows: DataFrame) -> tuple[DataFrame, GBTClassificationModel | None, float]:
+    """Statistics of every suffix over all urls, the trees, and the verdict without trees.
 
     Labelled urls are those that a rule decides. The trees are fitted on the MOST_LABELLED of them that come first by
     the MD5 of the url. With a single class there is nothing to fit: its label stands (1, allow, without any labels).
     """
     good = (F.col("rule_verdict") == "allow").cast("double")
-    by = rows.groupBy("suffix").agg(F.count("*").alias("n"), ((F.sum(good) + 1) / (F.count(good) + 2)).alias("allow")).orderBy(F.desc("n"), "suffix").limit(MOST_SUFFIXES).collect()
     total = rows.agg(F.count("*")).first()[0] or 1
-    stats = [(r["suffix"], r["n"] / total, r["allow"]) for r in by]
+    allow = (F.coalesce(F.sum(good), F.lit(0.0)) + 1) / (F.count(good) + 2)
+    by = rows.groupBy(F.col("suffix").alias("_tm_suffix")).agg((F.count("*") / F.lit(total)).alias("_tm_share"), allow.alias("_tm_allow"))
+    stats = keep(by, "url-suffixes")
     labelled = with_suffix_statistics(rows.where("rule_verdict is not null"), stats)
     sample = labelled.select(*FEATURES, (F.col("rule_verdict") == "allow").cast("double").alias("target"), F.md5(F.col("url").cast("binary")).alias("h"))
     sample = keep(sample.orderBy("h", *FEATURES).limit(MOST_LABELLED).drop("h"), "url-sample")
