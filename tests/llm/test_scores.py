@@ -2,6 +2,7 @@ import collections
 import math
 
 import numpy as np
+import pytest
 import xxhash
 
 from tests.conftest import SMALL
@@ -111,14 +112,57 @@ def test_mix_matches_sql(spark, duck):
     assert got == want
 
 
+def raked(cells, targets):
+    """Plain raking of {(source, lang, topic): share} to {marginal: {name: share}}."""
+    fit = dict(cells)
+    for _ in range(3000):
+        for k, d in enumerate(X.DIMS):
+            have = collections.Counter()
+            for c, v in fit.items():
+                have[c[k]] += v
+            fit = {c: v * targets[d][c[k]] / have[c[k]] for c, v in fit.items()}
+    return fit
+
+
+def marginals(got, weight):
+    out = {}
+    for d in X.DIMS:
+        names = got[d].fillna("(null)")
+        out[d] = ((got.n_tokens * weight).groupby(names).sum() / (got.n_tokens * weight).sum()).to_dict()
+    return out
+
+
 def test_mix_meets_the_marginals(spark):
+    """All three marginals of the weighted corpus are those of the default and of given targets, whatever the rounding to 6 places."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = X.mix_to_targets(docs).toPandas()
-    share = got.groupby("source").n_tokens.sum() / got.n_tokens.sum()
-    want = share ** X.TEMPERATURE["source"] / (share ** X.TEMPERATURE["source"]).sum()
-    have = (got.n_tokens * got.weight).groupby(got.source).sum() / (got.n_tokens * got.weight).sum()
-    assert (have - want).abs().max() < 0.01
+    now = marginals(got, 1.0)
+    pulled = got.n_tokens.astype(float)
+    for d in X.DIMS:
+        pulled *= got[d].map(now[d]) ** (X.TEMPERATURE[d] - 1)
+    want = marginals(got.assign(n_tokens=pulled), 1.0)
+    for d in X.DIMS:
+        have = marginals(got, got.weight)[d]
+        assert all(abs(have[k] / want[d][k] - 1) < 1e-4 for k in want[d])
+        assert max(abs(now[d][k] / want[d][k] - 1) for k in want[d]) > 0.02  # the targets do move the mix
     assert abs(got.kept.mean() - got.probability.mean()) < 0.05
+    # given targets: those of a mix that favours some names of each marginal
+    moved = got.n_tokens * got.lang.map({"en": 0.7, "de": 1.5, "fr": 1.2, "es": 1.1}) * (1 + 0.3 * (got.topic == "place")) * (1 + got.source.str[-1].astype(int) / 10)
+    asked = marginals(got.assign(n_tokens=moved), 1.0)
+    given = X.mix_to_targets(docs, targets=asked).toPandas()
+    have = marginals(given, given.weight)
+    assert all(abs(have[d][k] / asked[d][k] - 1) < 1e-4 for d in X.DIMS for k in asked[d])
+    cells = (given.groupby(["source", "lang", "topic"]).n_tokens.sum() / given.n_tokens.sum()).to_dict()
+    fit = raked(cells, asked)
+    weight = given.groupby(["source", "lang", "topic"]).weight.first()
+    assert all(abs(weight[c] - v / cells[c]) < 1e-3 * max(1, weight[c]) for c, v in fit.items())
+
+
+def test_mix_fails_on_targets_that_no_mix_meets(spark, monkeypatch):
+    monkeypatch.setattr(X, "MOST_ROUNDS", 500)
+    docs = spark.createDataFrame([(1, "a b", "s", "en"), (2, "a b", "t", "de")], "doc_id bigint, text string, source string, lang string")
+    with pytest.raises(ValueError, match="no mix meets"):
+        X.mix_to_targets(docs, targets={"source": {"s": 1.0, "t": 1.0}, "lang": {"en": 9.0, "de": 1.0}})
 
 
 def test_mix_edges(spark, odd_docs, no_docs, monkeypatch):

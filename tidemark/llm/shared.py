@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 #: White space of the word definition: \x20 and \x09-\x0D.
 BLANKS = " \t\n\x0b\x0c\r"
 
-#: A side with at most this many rows of a few bytes may be broadcast.
-BROADCAST_ROWS = 1_000_000
+#: A side may be broadcast up to so many rows and bytes of data, both counted.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines share; a local one only where the session names none."""
+    """The folder that all machines share; a temporary one only where the session names none and runs in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -40,9 +43,22 @@ def keep(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_or_plain(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when a count proves that the side is small; else leave the join to the planner."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes of data a row holds."""
+
+    def of(name: str, kind: str) -> Column:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        return F.coalesce(F.size(c), F.lit(0)) * 16 + 8 if kind.startswith(("array", "map")) else F.lit(8)
+
+    return sum((of(*x) for x in df.dtypes), F.lit(0)).cast("bigint")
+
+
+def small_or_plain(df: DataFrame, most_rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when counts prove that the side is small in rows and bytes; else leave the join to the planner."""
+    n, size = df.limit(most_rows + 1).agg(F.count("*"), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    return F.broadcast(df) if n <= most_rows and size <= most_bytes else df
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -52,8 +68,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words_of(text: Column) -> Column:
     """Words [^\\x20\\x09-\\x0D]+ of a text, as an array without empty strings; null counts as empty."""
-    clean = F.trim(F.translate(F.coalesce(text, F.lit("")), BLANKS[1:], " " * (len(BLANKS) - 1)))
-    return F.when(F.length(clean) == 0, F.array().cast("array<string>")).otherwise(F.split(clean, " +"))
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
+    return F.when(F.octet_length(inner) == 0, F.array().cast("array<string>")).otherwise(F.split(inner, "[ \\t-\\r]+"))
 
 
 def connected_components(edges: DataFrame, what: str = "components", most_rounds: int = 60) -> DataFrame:
