@@ -41,22 +41,42 @@ def test_ratio_against_python(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     good = {r.doc_id for r in Q.trusted_ids(spark, SMALL).collect()}
     texts = {r.doc_id: WORD.findall(r.text or "") for r in docs.collect()}
-    half = Q.BUCKETS // 2
 
-    def bucket(gram):
-        h = xxhash.xxh64_intdigest(gram.encode(), 42)
-        return (h - (1 << 64) if h >> 63 else h) % half
+    def hashed(*grams):
+        h = 42
+        for g in grams:
+            h = xxhash.xxh64_intdigest(g if isinstance(g, bytes) else g.encode(), h)
+        return h
 
-    feats = {d: [bucket(x[:3]) for x in w] + [bucket(x[-3:]) + half for x in w] for d, w in texts.items()}
+    def feats(w):
+        ends = [hashed(x[-3:]).to_bytes(8, "little") for x in w]
+        grams = [(0, hashed(x)) for x in w] + [(1, hashed(x[:4])) for x in w] + [(2, hashed(*p)) for p in zip(ends, ends[1:], strict=False)]
+        return [kind * Q.BUCKETS + h % Q.BUCKETS for kind, h in grams]
+
+    found = {d: feats(w) for d, w in texts.items()}
     raw, tgt = collections.Counter(), collections.Counter()
-    for d, f in feats.items():
+    for d, f in found.items():
         raw.update(f)
         tgt.update(f if d in good else [])
-    a, b = sum(tgt.values()) + Q.PSEUDO * Q.BUCKETS, sum(raw.values()) + Q.PSEUDO * Q.BUCKETS
+    n_raw, n_tgt = sum(raw.values()), sum(tgt.values())
+    ratio = {k: math.log((tgt[k] + Q.SMOOTHING * n / n_raw) / (n_tgt + Q.SMOOTHING) / (n / n_raw)) for k, n in raw.items()}
     for r in Q.quality_rules(docs, Q.trusted_ids(spark, SMALL)).collect():
-        f = feats[r.doc_id]
-        want = sum(math.log((tgt[k] + Q.PSEUDO) / a / ((raw[k] + Q.PSEUDO) / b)) for k in f) / len(f) if f else 0.0
+        f = found[r.doc_id]
+        want = sum(map(ratio.get, f)) / len(f) if f else 0.0
         assert abs(r.llr - want) < 1e-9
+        assert r.kept == (not r.base_failed and r.llr >= Q.THRESHOLD)
+
+
+def test_unseen_labels_agree(spark):
+    """Fitted on every other trusted document, the rules still keep the rest of them and reject the documents labelled bad."""
+    from pyspark.sql import functions as F
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    seen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    judged_ = Q.quality_rules(docs, labels.where("quality = 1").where(seen).select("doc_id")).join(labels, "doc_id").where(~seen & F.expr("not base_failed")).select("quality", "kept").collect()
+    for quality in (0, 1):
+        own = [r.kept == bool(quality) for r in judged_ if r.quality == quality]
+        assert len(own) > 100 and sum(own) / len(own) >= 0.97
 
 
 def test_labels_agree(spark):

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import BLANKS, let, small_or_plain, table, words_of
 
-#: Buckets of the hashed n-grams, pseudo-count of each, and the least mean log ratio (nats a feature) of a kept text.
-BUCKETS, PSEUDO, THRESHOLD = 1 << 15, 1.0, -1.0
+#: Kinds of n-grams and buckets of each kind (a power of 2).
+KINDS, BUCKETS = 3, 1 << 14
+#: Tokens by which the trusted shares are drawn to the raw ones: with little trusted text all ratios are near 0.
+SMOOTHING = 8.0 * BUCKETS
+#: Least mean log ratio (nats a feature) of a kept text.
+THRESHOLD = -0.16
 
 
-def _repeat_words(words: Column) -> Column:
+def _repeat_words(per_word: Column) -> Column:
     """Words inside 5-word windows that occur twice or more in the text, the first occurrence included.
 
-    Each window is a 64-bit hash of its word hashes with its place; after sorting, equal neighbours are repeats, and
+    ``per_word`` are the words' hashes. Each window is a 64-bit hash of them with its place; after sorting, equal neighbours are repeats, and
     a repeat covers five words less what the next one covers. Texts whose windows all differ skip the sort.
     """
 
@@ -33,56 +39,76 @@ def _repeat_words(words: Column) -> Column:
         total = lambda g: F.aggregate(g, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
         return let(tagged, lambda s: let(places(s), lambda p: total(gaps(p))))
 
-    per_word = F.transform(words, lambda w: F.xxhash64(w))
     counted = let(per_word, lambda h: let(windows(h), lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0).cast("bigint")).otherwise(covered(w))))
-    return F.when(F.size(words) < 5, F.lit(0).cast("bigint")).otherwise(counted)
+    return F.when(F.size(per_word) < 5, F.lit(0).cast("bigint")).otherwise(counted)
 
 
-def base_columns(text: Column, words: Column) -> dict[str, Column]:
+def base_columns(text: Column, words: Column, per_word: Column) -> dict[str, Column]:
     whole = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
     return {
         "n_words": F.size(words).cast("bigint"),
-        "word_chars": F.length(F.translate(whole, BLANKS, "")).cast("bigint"),
-        "n_symbols": (F.length(whole) - F.length(F.translate(whole, "#*$%&|<>", ""))).cast("bigint"),
+        "word_chars": F.length(F.array_join(words, "")).cast("bigint"),
+        "n_symbols": F.regexp_count(whole, F.lit("[#*$%&|<>]")).cast("bigint"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
-        "n_repeat_words": _repeat_words(words),
+        "n_repeat_words": _repeat_words(per_word),
     }
 
 
-def features(word: Column) -> tuple[Column, Column]:
-    """Bucket numbers of a word's two n-grams: its first three characters in the lower half, its last three in the upper."""
-    half = BUCKETS // 2
-    bucket = lambda gram: F.pmod(F.xxhash64(gram), F.lit(half)).cast("int")
-    return bucket(F.left(word, F.lit(3))), bucket(F.right(word, F.lit(3))) + half
+def bucket(kind: int, *grams: Column) -> Column:
+    """Bucket number of an n-gram of one kind; strings are hashed, and a single hash is taken as it is."""
+    h = grams[0] if kind == 0 else F.xxhash64(*grams)
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + kind * BUCKETS
+
+
+def head(word: Column) -> Column:
+    return F.left(word, F.lit(4))
+
+
+def tail(word: Column) -> Column:
+    """Hash of the last three characters."""
+    return F.xxhash64(F.right(word, F.lit(3)))
+
+
+def ratio_sum(words: Column, per_word: Column, ratio: Callable[[Column], Column]) -> Column:
+    """Log ratios summed over the whole word stream: every word, every word's first four characters, every pair of word ends."""
+    whole = F.aggregate(per_word, F.lit(0.0), lambda acc, h: acc + ratio(bucket(0, h)))
+    heads = F.aggregate(words, F.lit(0.0), lambda acc, w: acc + ratio(bucket(1, head(w))))
+    at = lambda t, i: F.element_at(t, i)
+    pairs = lambda t: F.aggregate(F.sequence(F.lit(2), F.size(t)), F.lit(0.0), lambda acc, i: acc + ratio(bucket(2, at(t, i - 1), at(t, i))))
+    return whole + heads + F.when(F.size(words) < 2, F.lit(0.0)).otherwise(let(F.transform(words, tail), pairs))
 
 
 def fit_ratio(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """Counts over all documents and over the trusted ones; one row with the log ratio of every bucket.
 
-    The row has BUCKETS doubles whatever the input's size. Buckets that never occur have the ratio of the pseudo-counts.
+    The row has KINDS * BUCKETS doubles whatever the input's size; a bucket that never occurs has 0.
     """
     marked = docs.select("doc_id", words_of(F.col("text")).alias("words"))
     ids = small_or_plain(trusted.select(F.col("doc_id").alias("t_id")).where("doc_id is not null").distinct())
-    marked = marked.join(ids, F.col("doc_id") == F.col("t_id"), "left").select(F.col("t_id").isNotNull().cast("bigint").alias("t"), F.explode("words").alias("w"))
-    # a word's two features become two rows inside generated code
-    head, tail = features(F.col("w"))
-    marked = marked.select("t", head.alias("b1"), tail.alias("b2")).select("t", F.stack(F.lit(2), "b1", "b2").alias("b"))
+    marked = marked.join(ids, F.col("doc_id") == F.col("t_id"), "left").select(F.col("t_id").isNotNull().cast("bigint").alias("t"), "words", F.posexplode("words").alias("i", "w"))
+    # a word's features become rows inside generated code; the last word has no pair
+    following = F.get("words", F.col("i") + 1)
+    pair = F.when(following.isNotNull(), bucket(2, tail(F.col("w")), tail(following)))
+    marked = marked.select("t", bucket(0, F.xxhash64("w")).alias("b0"), bucket(1, head(F.col("w"))).alias("b1"), pair.alias("b2")).select("t", F.stack(F.lit(KINDS), "b0", "b1", "b2").alias("b"))
     counts = marked.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("good"))
-    spine = docs.sparkSession.range(0, BUCKETS, 1, 1).select(F.col("id").cast("int").alias("b"))
+    spine = docs.sparkSession.range(0, KINDS * BUCKETS, 1, 1).select(F.col("id").cast("int").alias("b"))
     full = spine.join(counts, "b", "left").na.fill(0, ["raw", "good"])
     rows = full.agg(F.sort_array(F.collect_list(F.struct("b", "raw", "good"))).alias("c"), F.sum("raw").alias("n_raw"), F.sum("good").alias("n_good"))
-    smooth = lambda k, n: (k + F.lit(PSEUDO)) / (n + F.lit(PSEUDO * BUCKETS))
-    return rows.select(F.lit(1).alias("_tm_k"), F.transform("c", lambda x: F.log(smooth(x["good"], F.col("n_good")) / smooth(x["raw"], F.col("n_raw")))).alias("_tm_ratio"))
+    share = lambda x: x["raw"] / F.col("n_raw")
+    ratio = lambda x: F.log((x["good"] + F.lit(SMOOTHING) * share(x)) / (F.col("n_good") + F.lit(SMOOTHING)) / share(x))
+    return rows.select(F.lit(1).alias("_tm_k"), F.transform("c", lambda x: F.when(x["raw"] == 0, F.lit(0.0)).otherwise(ratio(x))).alias("_tm_ratio"))
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``docs`` with base counts, ``base_failed``, ``llr`` and ``kept``.
 
     ``trusted`` holds the doc_ids of trusted-target documents; the raw corpus is all of ``docs``. ``llr`` is the mean
-    log ratio of a text's features, 0 for a text without words (which the base rule rejects). Null texts are empty;
-    a null doc_id is never trusted; repeated rows are judged alike; columns of ``docs`` with an output's name are
-    replaced; with no trusted document every ratio is 0 and the base rules decide; an empty table gives no rows.
+    log ratio of a text's features (hashed words, first four characters of words, pairs of neighbours' last three
+    characters), 0 for a text without words (which the base rule rejects). Null texts are empty; texts of any length are
+    read whole; a null doc_id is never trusted; repeated rows are judged alike, ties have equal scores; columns of
+    ``docs`` with an output's name are replaced; with no trusted document every ratio is 0 and the base rules decide; an
+    empty table gives no rows.
     """
     model = fit_ratio(docs, trusted)
     if trusted.limit(1).count() == 0:
@@ -90,12 +116,11 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept"]
     rest = [c for c in docs.columns if c not in own]
     # the model is one row of a fixed size
-    scored = docs.select(*rest, words_of(F.col("text")).alias("_tm_words"), F.lit(1).alias("_tm_k")).join(F.broadcast(model), "_tm_k")
-    n = F.size("_tm_words")
-    ratio = lambda b: F.get(F.col("_tm_ratio"), b)
-    total = F.aggregate("_tm_words", F.lit(0.0), lambda acc, w: acc + ratio(features(w)[0]) + ratio(features(w)[1]))
-    llr = F.when(n == 0, F.lit(0.0)).otherwise(total / (2 * n))
-    base = base_columns(F.col("text"), F.col("_tm_words"))
+    scored = docs.select(*rest, words_of(F.col("text")).alias("_tm_words"), F.lit(1).alias("_tm_k")).withColumn("_tm_hashes", F.transform("_tm_words", lambda w: F.xxhash64(w))).join(F.broadcast(model), "_tm_k")
+    n, words, per_word = F.size("_tm_words"), F.col("_tm_words"), F.col("_tm_hashes")
+    total = ratio_sum(words, per_word, lambda b: F.get(F.col("_tm_ratio"), b))
+    llr = F.when(n == 0, F.lit(0.0)).otherwise(total / (KINDS * n - 1))
+    base = base_columns(F.col("text"), words, per_word)
     out = scored.select(*rest, *(c.alias(k) for k, c in base.items()), llr.alias("llr"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
