@@ -8,6 +8,7 @@ from tests.llm.test_near import brute_near
 from tests.llm.test_rules_and_lines import base, brute_lines
 from tidemark.llm import mixing
 from tidemark.llm.line_dedup import MIN_WORDS
+from tidemark.llm.quality_rules import THRESHOLD
 from tidemark.llm.quality_rules import query as rules_query
 
 
@@ -21,7 +22,7 @@ def test_stages_against_brute_force(spark, duck):
             assert cur.columns == docs.columns
     texts = {r.doc_id: r.text for r in docs.collect()}
     llr = {r.doc_id: r.llr for r in rules_query(spark, SMALL).collect()}
-    kept = {d: t for d, t in texts.items() if (b := base(t))[0] >= 10 and 100 * b[4] <= 20 * b[0] and llr[d] >= -1.0}
+    kept = {d: t for d, t in texts.items() if (b := base(t))[0] >= 10 and 100 * b[4] <= 20 * b[0] and llr[d] >= THRESHOLD}
     assert {r.doc_id for r in outs["quality_rules"].collect()} == set(kept)
     cut = {d: t for d, t in brute_lines(sorted(kept.items()), MIN_WORDS).items() if t == kept[d] or t.strip()}
     assert {r.doc_id: r.text for r in outs["line_dedup"].collect()} == cut
