@@ -8,7 +8,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import keep, small_or_plain, table
@@ -17,10 +19,11 @@ from tidemark.llm.shared import keep, small_or_plain, table
 START, END, UNKNOWN = (xxhash.xxh3_64_intdigest(x, 4) for x in (b"start", b"end", b"unknown"))
 #: A bigram's key is its context's key times this, plus its word's, modulo 2^64.
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-#: A count's bits in a row of part, count and count in the target; larger counts are sent in several rows.
-_BITS = 20
 #: Weight of the unigram model in a bigram's probability, and the pseudo-count of every word.
 BACKOFF, PSEUDO = 20.0, 1.0
+#: Bytes of text in a part of the corpus, in a compressed slice of a part, and for which there is one range of keys.
+PART_BYTES, SLICE_BYTES, RANGE_BYTES = 6 << 20, 1 << 20, 8 << 20
+_COUNTS = ("u1", "<u2", "<u4", "<u8")
 
 
 def _hashes(text: bytes | None) -> np.ndarray:
@@ -105,32 +108,110 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
 
-def key_counts(parts: DataFrame, known: np.ndarray | None) -> DataFrame:
-    """Counts of each part's words and bigrams as one task sees them, in the corpus and in the target."""
+def pack_counts(x: np.ndarray) -> bytes:
+    """Counts in the narrowest unsigned type that holds them, compressed."""
+    kind = int(np.searchsorted([1 << 8, 1 << 16, 1 << 32], int(x.max()) if len(x) else 0, side="right"))
+    return zstandard.ZstdCompressor(level=1).compress(bytes([kind]) + x.astype(_COUNTS[kind]).tobytes())
+
+
+def unpack_counts(blob: bytes) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    return np.frombuffer(raw, _COUNTS[raw[0]], offset=1).astype(np.int64)
+
+
+def pack_keys(x: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte by byte of all of them, compressed."""
+    planes = np.diff(x, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_keys(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def to_parts(docs: DataFrame) -> DataFrame:
+    """The corpus in parts of about PART_BYTES of text, a row each: compressed slices of (doc_id, is_target, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies: dict[int, Tally] = {}
+        part, slices, size = TaskContext.get().partitionId() << 32, [], 0
+
+        def row() -> pa.RecordBatch:
+            return pa.record_batch([pa.array([part], pa.int64()), pa.array([size], pa.int64()), pa.array([slices], pa.list_(pa.binary()))], ["part", "n_bytes", "docs"])
+
         for batch in batches:
-            of = batch.column(0).to_numpy()
-            for part in np.unique(of).tolist():
-                rows = batch.filter(pa.array(of == part))
-                for lo in range(0, rows.num_rows, 1000):
-                    cut = rows.slice(lo, 1000)
-                    flat, first, sizes = _sequences(cut.column(2).to_pylist(), known)
-                    target = np.repeat(cut.column(1).to_numpy(zero_copy_only=False).astype(float), sizes)
-                    tallies.setdefault(part, Tally()).add(np.concatenate([flat, _pairs(flat, first)]), np.concatenate([target, target[~first]]))
-        for part in sorted(tallies):
-            names, n, good = tallies.pop(part).total()
-            for lo in range(0, len(names), 200_000):
-                k, a, b = (x[lo : lo + 200_000] for x in (names.astype(np.uint64).view(np.int64), n, good))
-                while len(k):
-                    now_a, now_b = (np.minimum(x, (1 << _BITS) - 1) for x in (a, b))
-                    yield pa.record_batch([pa.array(k), pa.array((part << 2 * _BITS) + (now_a << _BITS) + now_b)], ["key", "info"])
-                    more = a > now_a  # no count in the target is larger than the count
-                    k, a, b = k[more], (a - now_a)[more], (b - now_b)[more]
+            at = np.cumsum([0 if t is None else len(t) for t in batch.column(2).to_pylist()])
+            lo = 0
+            while lo < batch.num_rows:
+                before = int(at[lo - 1]) if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(at, before + SLICE_BYTES, side="right")))
+                hi = min(hi, lo + 10_000)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(batch.slice(lo, hi - lo))
+                slices.append(sink.getvalue().to_pybytes())
+                size += int(at[hi - 1]) - before
+                lo = hi
+                if size >= PART_BYTES:
+                    yield row()
+                    part, slices, size = part + 1, [], 0
+        if slices:
+            yield row()
+
+    return docs.select("doc_id", "is_target", F.col("text").cast("binary").alias("text")).mapInArrow(run, "part bigint, n_bytes bigint, docs array<binary>")
+
+
+def _unpacked(slices: list[bytes]) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in slices])
+
+
+def key_counts(parts: DataFrame, ranges: int, known: np.ndarray | None) -> DataFrame:
+    """Every part's words (kind 0) and bigrams (kind 1) in ``ranges`` ranges of keys, with counts in the part and in its target texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, part in enumerate(batch.column(0).to_pylist()):
+                slices = batch.column(1)[i].as_py()
+                tallies = (Tally(), Tally())
+                for x in slices:
+                    docs = _unpacked([x])
+                    flat, first, sizes = _sequences(docs.column("text").to_pylist(), known)
+                    target = np.repeat(docs.column("is_target").to_numpy().astype(float), sizes)
+                    tallies[0].add(flat, target)
+                    tallies[1].add(_pairs(flat, first), target[~first])
+                rows: list[tuple] = []
+                for kind, tally in enumerate(tallies):
+                    names, n, good = tally.total()
+                    names = names.astype(np.uint64)
+                    of = (names >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+                    edges = np.searchsorted(of, np.arange(ranges + 1, dtype=np.uint64))
+                    rows += [(part, kind, r, pack_keys(names[lo:hi]), pack_counts(n[lo:hi]), pack_counts(good[lo:hi])) for r, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if hi > lo]
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 6, kinds, strict=True)], ["part", "kind", "range", "keys", "n", "n_target"])
+        _give_back()
+
+    return parts.select("part", "docs").mapInArrow(run, "part bigint, kind int, range bigint, keys binary, n binary, n_target binary")
+
+
+def totals(counts: DataFrame) -> DataFrame:
+    """Totals over all parts, sent back to each part in the order of its keys; with part -1, a range's words, their sum and their sum in the target."""
+
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        kind, keys = key[0].as_py(), [unpack_keys(x) for x in t.column("keys").to_pylist()]
+        edges = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
+        names, at = np.unique(np.concatenate(keys), return_inverse=True)
+        del keys
+        sums = [np.bincount(at, np.concatenate([unpack_counts(x) for x in t.column(c).to_pylist()]), len(names)).astype(np.int64) for c in ("n", "n_target")]
+        back = [[pack_counts(x[at[lo:hi]]) for lo, hi in zip(edges[:-1], edges[1:], strict=True)] for x in sums]
+        parts, stats = t.column("part").to_pylist(), [0, 0, 0]
+        if kind == 0:
+            stats = [int((~np.isin(names, np.array([START, END], np.uint64))).sum()), *(int(x.sum()) for x in sums)]
+            parts, back = [*parts, -1], [[*x, None] for x in back]
         _give_back()
+        cols = [pa.array(parts, pa.int64()), pa.array([kind] * len(parts), pa.int32()), pa.array([key[1].as_py()] * len(parts), pa.int64()), *(pa.array(x, pa.binary()) for x in back)]
+        return pa.table([*cols, *(pa.array([0] * (len(parts) - 1) + [x], pa.int64()) for x in stats)], ["part", "kind", "range", "n", "n_target", "words", "total", "total_target"])
 
-    return parts.select("part", "is_target", F.col("text").cast("binary")).mapInArrow(run, "key bigint, info bigint")
+    return counts.groupBy("kind", "range").applyInArrow(run, "part bigint, kind int, range bigint, n binary, n_target binary, words bigint, total bigint, total_target bigint")
 
 
 def lm_scores(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None) -> DataFrame:
@@ -138,75 +219,53 @@ def lm_scores(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = N
 
     The background is all of ``docs``, the target its rows whose doc_id is in ``target_ids``; both models have the same
     vocabulary, order and smoothing. Every word of the corpus counts; with ``vocabulary`` only so many of the most
-    frequent do and all others are one unknown word. Counts cover all documents: each part of the corpus sends its
-    distinct words and bigrams (as 64-bit hashes), gets their totals back, and scores its own documents, so no model
-    and, unless asked for, no vocabulary is collected or broadcast. Texts that are null or without words have null
-    cross-entropies; null doc_ids are never target; repeated rows count and score as often as they occur; an empty table
-    gives no rows; other columns are ignored.
+    frequent do and all others are one unknown word. Counts cover all documents: each part of the corpus (a bounded
+    amount of text) sends its distinct words and bigrams (as 64-bit hashes, by range of keys), gets their totals back,
+    and scores its own documents, so no model and, unless asked for, no vocabulary is collected or broadcast. However
+    frequent a key is, a part sends it once. Texts that are null or without words have null cross-entropies; very long
+    texts are parts of their own; null doc_ids are never target; repeated rows count and score as often as they occur,
+    rows that share a doc_id by their own texts; an empty table gives no rows; other columns are ignored.
     """
     ids = small_or_plain(target_ids.select(F.col("doc_id").cast("bigint").alias("t_id")).where("t_id is not null").distinct())
     marked = docs.select(F.col("doc_id").cast("bigint"), "text").join(ids, F.col("doc_id") == F.col("t_id"), "left")
     marked = marked.select("doc_id", "text", F.col("t_id").isNotNull().alias("is_target"))
-    counts = word_counts(marked)
+    known = None
     if vocabulary is not None:
-        counts = keep(counts, "lm-words")
-    start = F.col("word") == F.lit(START - (1 << 64) if START >> 63 else START)
-    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "n_target", F.when(start, F.col("n")), F.when(start, F.col("n_target")))]
-    seen = counts.agg(*sums, F.count_if(~start)).first()
-    words, known = seen[4], None
-    if vocabulary is not None:
-        top = counts.where(~start).orderBy(F.desc("n"), "word").limit(vocabulary).collect()
-        known, words = np.array([r["word"] for r in top], np.int64).view(np.uint64), len(top)
-    totals = {"n": seen[0] + seen[2], "n_target": seen[1] + seen[3]}  # each text has an end, too
-    parts = keep(marked.select(F.spark_partition_id().alias("part"), "doc_id", "is_target", "text"), "lm-parts")
-
-    # what one part alone has it knows itself: only the totals of shared keys go back
-    by_key = Window.partitionBy("key")  # at most one row per part and task that reads of it, but for very large counts
-    low = (1 << _BITS) - 1
-    sent = key_counts(parts, known).withColumn("part", F.shiftright("info", 2 * _BITS).cast("int"))
-    n, n_target = F.shiftright("info", _BITS).bitwiseAND(F.lit(low)), F.col("info").bitwiseAND(F.lit(low))
-    back = sent.select("part", "key", F.count("*").over(by_key).alias("rows"), F.sum(n).over(by_key).alias("n"), F.sum(n_target).over(by_key).alias("n_target")).where("rows > 1").drop("rows")
-
-    def run(docs_: pa.Table, table_: pa.Table) -> pa.Table:
-        tally = Tally()
-        for lo in range(0, docs_.num_rows, 1000):
-            cut = docs_.slice(lo, 1000)
-            flat, first, sizes = _sequences(cut.column("text").to_pylist(), known)
-            target = np.repeat(cut.column("is_target").to_numpy().astype(float), sizes)
-            tally.add(np.concatenate([flat, _pairs(flat, first)]), np.concatenate([target, target[~first]]))
-        names, *own_counts = tally.total()
-        names = names.astype(np.uint64)
-        at = np.searchsorted(names, table_.column("key").to_numpy().view(np.uint64))
-        counts_ = dict(zip(("n", "n_target"), own_counts, strict=True))
-        for c in counts_:
-            counts_[c][at] = table_.column(c).to_numpy()
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        for lo in range(0, docs_.num_rows, 1000):
-            flat, first, sizes = _sequences(docs_.column("text").slice(lo, 1000).to_pylist(), known)
-            some = sizes > 0
-            n_pairs = sizes[some] - 1
-            out[2].append(~some)
-            out[3].append(np.maximum(sizes - 2, 0))
-            own, at_word = np.unique(flat, return_inverse=True)
-            at_own, at_pair = np.searchsorted(names, own), np.searchsorted(names, _pairs(flat, first))
-            context, word = at_word[:-1][~first[1:]], at_word[~first]
-            for k, c in enumerate(("n_target", "n")):
-                mean = np.full(len(sizes), np.nan)
-                if some.any():
-                    unigrams = counts_[c][at_own].astype(float)
-                    p = (unigrams + PSEUDO) / (totals[c] + PSEUDO * (words + 3))
-                    loss = -np.log((counts_[c][at_pair] + BACKOFF * p[word]) / (unigrams[context] + BACKOFF))
-                    mean[some] = np.add.reduceat(loss, np.cumsum(n_pairs) - n_pairs) / n_pairs
-                out[k].append(mean)
-        target, background, null, n_tokens = (np.concatenate(x) if x else np.zeros(0) for x in out)
-        null = null.astype(bool)
+        start = F.col("word") == F.lit(START - (1 << 64) if START >> 63 else START)
+        top = word_counts(marked).where(~start).orderBy(F.desc("n"), "word").limit(vocabulary).collect()
+        known = np.array([r["word"] for r in top], np.int64).view(np.uint64)
+    parts = keep(to_parts(marked), "lm-parts")
+    ranges = max(1, -(-(parts.agg(F.sum("n_bytes")).first()[0] or 0) // RANGE_BYTES))
+    back = keep(totals(key_counts(parts, ranges, known)), "lm-totals")
+    seen = back.where("part = -1").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "total", "total_target"))).first()
+    words, sums = seen[0] if known is None else len(known), {"n": seen[1], "n_target": seen[2]}
+    of_part = back.where("part >= 0").groupBy("part").agg(F.sort_array(F.collect_list(F.struct("kind", "range", "n", "n_target"))).alias("back"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):  # a part at a time
+                slices, sent = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                docs_ = _unpacked(slices)
+                flat, first, sizes = _sequences(docs_.column("text").to_pylist(), known)
+                _, at_word = np.unique(flat, return_inverse=True)
+                _, at_pair = np.unique(_pairs(flat, first), return_inverse=True)
+                some, n_pairs = sizes > 0, sizes[sizes > 0] - 1
+                context, word = at_word[:-1][~first[1:]], at_word[~first]
+                means = []
+                for c in ("n_target", "n"):
+                    unigrams, bigrams = (np.concatenate([unpack_counts(x[c]) for x in sent or () if x["kind"] == kind] or [np.zeros(0)]).astype(float) for kind in (0, 1))
+                    p = (unigrams + PSEUDO) / (sums[c] + PSEUDO * (words + 3))
+                    loss = -np.log((bigrams[at_pair] + BACKOFF * p[word]) / (unigrams[context] + BACKOFF))
+                    mean = np.full(len(sizes), np.nan)
+                    if some.any():
+                        mean[some] = np.add.reduceat(loss, np.cumsum(n_pairs) - n_pairs) / n_pairs
+                    means.append(mean)
+                cols = [pa.array(x, mask=~some) for x in (*means, means[0] - means[1])]
+                del flat, first, at_word, at_pair, context, word, unigrams, bigrams, loss
+                yield pa.record_batch([docs_.column("doc_id").combine_chunks(), pa.array(np.maximum(sizes - 2, 0)), *cols], ["doc_id", "n_tokens", "ce_target", "ce_background", "score"])
         _give_back()
-        return pa.table({
-            "doc_id": docs_.column("doc_id"), "n_tokens": pa.array(n_tokens.astype(np.int64)), "ce_target": pa.array(target, mask=null), "ce_background": pa.array(background, mask=null), "score": pa.array(target - background, mask=null),
-        })
 
-    texts_ = parts.select("part", "doc_id", "is_target", F.col("text").cast("binary").alias("text"))
-    return texts_.groupBy("part").cogroup(back.groupBy("part")).applyInArrow(run, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double")
+    return parts.join(of_part, "part", "left").select("docs", "back").mapInArrow(run, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
