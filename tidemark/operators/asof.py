@@ -85,3 +85,14 @@ def missing_combinations(expected: Sequence[DataFrame], present: DataFrame) -> D
 def look_ahead(df: DataFrame, available: str, as_of: Column) -> DataFrame:
     """Rows that break the point-in-time promise; a correct result has none."""
     return df.where(F.col(available) > as_of)
+
+
+def price_window(prices: DataFrame, as_of: Column, bars: int, days_per_bar: float, least_days: int = 0) -> DataFrame:
+    """Last ``bars`` bars per ticker within the calendar days that a source is asked for: int(days_per_bar * bars) back."""
+    start = F.date_sub(as_of, max(int(days_per_bar * bars), least_days))
+    return latest_n(prices.where(F.col("date").between(start, as_of)), ["ticker"], [F.desc("date")], bars)
+
+
+def first_fresh(sources: Sequence[tuple[DataFrame, int | None]], keys: Sequence[str], date: str, as_of: Column) -> DataFrame:
+    """Ordered snapshot sources with a staleness bound each: a key's newest snapshot from the first source that is fresh enough."""
+    return first_source([newest_snapshot(df, keys, date, as_of, age) for df, age in sources], keys)

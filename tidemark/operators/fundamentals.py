@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import or_missing, round_half_up, truthy
-from tidemark.operators.asof import latest_n
+from tidemark.operators.asof import first_source, latest_n
 
 # Account names by field, in order of preference.
 KR_ACCOUNTS = {
@@ -104,14 +104,18 @@ def map_accounts(lines: DataFrame, keys: Sequence[str], account: str, value: str
     """Statement lines to one row per key with a column per field.
 
     For each field the candidates are tried in order, first for equal names, then for contained ones; a line whose
-    amount cannot be read is skipped. The candidates are a small fixed table that is broadcast.
+    amount cannot be read is skipped. Each field's best match of a line is an expression over its few fixed candidates,
+    so the lines are aggregated without a join.
     """
-    spark = lines.sparkSession
-    names = [(f, c, i) for f, cs in accounts.items() for i, c in enumerate(cs)]
-    wanted = F.broadcast(spark.createDataFrame(names, "field string, candidate string, cand_rank int"))
-    rows = lines.where(F.col(value).isNotNull()).join(wanted, F.col(account).contains(F.col("candidate")))
-    order = F.struct((F.col(account) != F.col("candidate")).alias("loose"), "cand_rank", F.col(row_no).alias("row_no"))
-    return rows.groupBy(*keys).pivot("field", list(accounts)).agg(F.min_by(value, order))
+    readable = lines.where(F.col(value).isNotNull())
+
+    def best(candidates: list[str]) -> Column:
+        name, n = F.col(account), len(candidates)  # the first equal candidate, else the first contained one, ranks a line
+        rank = F.coalesce(*(F.when(name == c, i) for i, c in enumerate(candidates)), *(F.when(name.contains(c), n + i) for i, c in enumerate(candidates)))
+        return F.min_by(value, F.when(rank.isNotNull(), F.struct(rank.alias("rank"), F.col(row_no).alias("row_no"))))
+
+    out = readable.groupBy(*keys).agg(*(best(cs).alias(f) for f, cs in accounts.items()))
+    return out.where(F.greatest(*(F.col(f).isNotNull() for f in accounts), F.lit(False)))
 
 
 def map_wide_accounts(wide: DataFrame, keys: Sequence[str], accounts: dict[str, list[str]]) -> DataFrame:
@@ -149,3 +153,13 @@ def unband_valuation(rows: DataFrame, price: Column, e_band: Column, e_mult: Col
     eps = F.try_divide(e_band, or_missing(e_mult))
     bps = F.try_divide(b_band, or_missing(b_mult))
     return rows.withColumns({"eps": eps, "bps": bps, "per": F.try_divide(price, or_missing(eps)), "pbr": F.try_divide(price, or_missing(bps))})
+
+
+def prefer_consolidated(lines: DataFrame, keys: Sequence[str] = ("corp", "bsns_year", "reprt_code"), kind: str = "fs_div") -> DataFrame:
+    """Consolidated lines (CFS) of a report where it has any, else its separate ones (OFS)."""
+    return first_source([lines.where(F.col(kind) == "CFS"), lines.where(F.col(kind) == "OFS")], keys)
+
+
+def three_statements(income: DataFrame, balance: DataFrame, cash: DataFrame, keys: Sequence[str] = ("ticker", "period_end")) -> DataFrame:
+    """Income statements with their balance sheet and cash flow of the same period end; income drives, the others may lack."""
+    return income.join(balance, list(keys), "left").join(cash, list(keys), "left")

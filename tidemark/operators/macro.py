@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,15 +81,30 @@ def clamp(first: Column, last: Column, low: Column, high: Column) -> tuple[Colum
     return F.greatest(first, low), F.least(last, high)
 
 
+def _averages(bars: pd.DataFrame) -> pd.DataFrame:
+    """Exponential averages of one ticker's bars: each value starts at the first bar that has one and moves by its share of the gap."""
+    bars = bars.sort_values("date", kind="stable")
+    ema = lambda x, alpha: x.ewm(alpha=alpha, adjust=False).mean()
+    move = bars["close"].diff()
+    macd = ema(bars["close"], 2 / 13) - ema(bars["close"], 2 / 27)
+    up, down = ema(move.clip(lower=0), 1 / 14), ema((-move).clip(lower=0), 1 / 14)
+    strength = 100 - 100 / (1 + up / down.where(down != 0))
+    rsi = strength.where(down != 0, 100.0).where((down != 0) | (up != 0), 50.0).where(move.notna() | up.notna())
+    return bars.assign(macd=macd, macd_signal=ema(macd, 2 / 10), rsi_14=rsi)
+
+
 def technical_indicators(prices: DataFrame, keys: tuple[str, ...] = ("ticker",)) -> DataFrame:
     """Rates of change, Bollinger bands (20), MACD (12, 26, 9), RSI (14) and stochastics (14, 3, 3) for every bar.
 
-    Fixed look-backs are window frames; exponential averages are one fold over each ticker's bars, held as an array
-    (a ticker's history is bounded by its trading days).
+    Fixed look-backs are window frames. Exponential averages depend on all earlier bars, so each ticker's bars are one
+    Arrow group and one pass (a ticker's history is bounded by its trading days).
     """
     w = Window.partitionBy(*keys).orderBy("date")
     back = lambda n: w.rowsBetween(-(n - 1), 0)
-    df = prices
+    bars = prices.select(*keys, "date", F.col("close").cast("double").alias("close"), F.col("high").cast("double").alias("high"), F.col("low").cast("double").alias("low"))
+    own = ", ".join(f"`{n}` {k}" for n, k in bars.dtypes)
+    df = bars.groupBy(*keys).applyInPandas(_averages, f"{own}, macd double, macd_signal double, rsi_14 double")
+    df = df.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("macd", "macd_signal", "rsi_14")})
     for n in (5, 10, 20, 30, 21, 63, 126, 252):
         df = df.withColumn(f"roc_{n}", F.try_divide(F.col("close"), or_missing(F.lag("close", n).over(w))) * 100 - 100)
     mid, sd = F.avg("close").over(back(20)), F.stddev_pop("close").over(back(20))
@@ -96,18 +112,4 @@ def technical_indicators(prices: DataFrame, keys: tuple[str, ...] = ("ticker",))
     df = df.withColumns({"bb_mid": F.when(full, mid), "bb_high": F.when(full, mid + 2 * sd), "bb_low": F.when(full, mid - 2 * sd)})
     low, high = F.min("low").over(back(14)), F.max("high").over(back(14))
     df = df.withColumn("stoch_raw", F.try_divide(F.col("close") - low, or_missing(high - low)) * 100)
-    df = df.withColumn("stoch_k", F.avg("stoch_raw").over(back(3))).withColumn("stoch_d", F.avg("stoch_k").over(back(3))).drop("stoch_raw")
-    move = F.col("close") - F.lag("close").over(w)
-    df = df.withColumns({"_up": F.greatest(move, F.lit(0.0)), "_down": F.greatest(-move, F.lit(0.0))})
-
-    def ema(name: str, value: str, alpha: float, src: DataFrame) -> DataFrame:
-        hist = F.collect_list(F.col(value)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        return src.withColumn(name, F.aggregate(hist, F.lit(None).cast("double"), lambda a, x: F.when(a.isNull(), x).otherwise(a + F.lit(alpha) * (x - a))))
-
-    df = ema("_e12", "close", 2 / 13, df)
-    df = ema("_e26", "close", 2 / 27, df).withColumn("macd", F.col("_e12") - F.col("_e26"))
-    df = ema("macd_signal", "macd", 2 / 10, df)
-    df = ema("_au", "_up", 1 / 14, df)
-    df = ema("_ad", "_down", 1 / 14, df)
-    rsi = F.when(F.col("_ad") == 0, F.when(F.col("_au") == 0, 50.0).otherwise(100.0)).otherwise(100 - 100 / (1 + F.col("_au") / F.col("_ad")))
-    return df.withColumn("rsi_14", F.when(F.col("_au").isNotNull(), rsi)).drop("_up", "_down", "_e12", "_e26", "_au", "_ad")
+    return df.withColumn("stoch_k", F.avg("stoch_raw").over(back(3))).withColumn("stoch_d", F.avg("stoch_k").over(back(3))).drop("stoch_raw")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days
@@ -29,6 +29,27 @@ def top_items(df: DataFrame, n: int = 15) -> DataFrame:
     return latest_n(df, ["ticker"], [F.desc_nulls_last(F.coalesce("published_at", F.col("date").cast("timestamp_ntz"))), F.desc_nulls_last("headline"), F.desc("seq")], n)
 
 
+def page_order_items(df: DataFrame, n: int = 15) -> DataFrame:
+    """First ``n`` items per ticker as the page lists them, each address once."""
+    return latest_n(keep_first(df, ["ticker", "url"], [F.asc("seq")]), ["ticker"], [F.asc("seq")], n)
+
+
+def archive_pages(rows: DataFrame, start: Column, most_pages: int = 200) -> DataFrame:
+    """Rows of the pages that a crawl reads: up to the first page that is empty, brings no new address or reaches before ``start``.
+
+    ``rows``: ticker, page, seq, date, url. Pages beyond ``most_pages`` are never read.
+    """
+    seen = Window.partitionBy("ticker", "url").orderBy("page", "seq")
+    fresh = rows.where(F.col("page") < most_pages).withColumn("_new", F.row_number().over(seen) == 1)
+    pages = fresh.groupBy("ticker", "page").agg(F.bool_or("_new").alias("some_new"), F.min("date").alias("oldest"))
+    order = Window.partitionBy("ticker").orderBy("page")
+    gap = F.col("page") != F.row_number().over(order) - 1
+    ended = ~F.col("some_new") | (F.col("oldest") < start) | gap
+    before = F.coalesce(F.max(ended.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    read = pages.withColumn("_gap", gap).withColumn("_before", before).where("_before = 0 and not _gap").select("ticker", "page")
+    return fresh.where("_new").drop("_new").join(read, ["ticker", "page"]).where(F.col("date") >= start)
+
+
 def day_status(captures: DataFrame) -> DataFrame:
     """Status of every day that crawls cover.
 

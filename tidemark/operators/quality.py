@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SEVERITY = {"ok": 0, "degraded": 1, "failed": 2}
@@ -29,10 +30,12 @@ def check_prices(universe: DataFrame, prices: DataFrame, as_of: Column) -> DataF
 
 
 def check_sorted(rows: DataFrame, key: str, position: str, date: str) -> DataFrame:
-    """Whether each key's dates ascend in the order given."""
+    """Whether each key's dates ascend in the order given, and whether they are in order in either direction."""
     w = Window.partitionBy(key).orderBy(position)
-    steps = rows.withColumn("up", F.col(date) >= F.lag(date).over(w))
-    return steps.groupBy(key).agg(F.coalesce(F.bool_and("up"), F.lit(True)).alias("is_sorted"))
+    before = F.lag(date).over(w)
+    steps = rows.withColumn("up", F.col(date) >= before).withColumn("down", F.col(date) <= before)
+    up, down = (F.coalesce(F.bool_and(c), F.lit(True)) for c in ("up", "down"))
+    return steps.groupBy(key).agg(up.alias("is_sorted"), (up | down).alias("either_way"))
 
 
 def check_fundamentals(universe: DataFrame, quarters: DataFrame, as_of: Column, available: str = "report_date") -> DataFrame:
@@ -61,10 +64,44 @@ def check_news(news: DataFrame, audit: DataFrame, fields: Sequence[str], as_of:
     return check_rows(g, "news", F.col("ticker"), rules)
 
 
-def check_coverage(universe: DataFrame, coverage: DataFrame) -> DataFrame:
+def check_coverage(universe: DataFrame, coverage: DataFrame, window_days: int | None = None) -> DataFrame:
+    """Failed without coverage or when its days do not add up to the window; degraded unless its status is ok."""
     rows = universe.select("ticker").join(coverage, "ticker", "left")
     metrics = {"captured_days": F.col("captured_days"), "missing_days": F.size("missing_days"), "capped_days": F.size("capped_days")}
-    return check_rows(rows, "news_coverage", F.col("ticker"), [(F.col("status").isNull(), "missing")], [(F.col("status") != "ok", "incomplete")], metrics)
+    failed = [(F.col("status").isNull(), "missing")]
+    if window_days is not None:
+        failed.append((F.col("captured_days") + F.size("missing_days") != window_days, "window_mismatch"))
+    return check_rows(rows, "news_coverage", F.col("ticker"), failed, [(F.col("status") != "ok", "incomplete")], metrics)
+
+
+def check_snapshot(snapshot: DataFrame, universe: DataFrame, expected_date: Column, sections: Sequence[str] = ("benchmark", "macro")) -> DataFrame:
+    """One row per decision date: its date and number of tickers must be those asked for; empty market tables degrade it.
+
+    ``snapshot``: decision_date, n_tickers and a count ``n_<section>`` for each market table.
+    """
+    size = universe.agg(F.count("*").alias("n_universe"))
+    rows = snapshot.join(F.broadcast(size))  # one row
+    empty = [(F.coalesce(F.col(f"n_{s}"), F.lit(0)) == 0, f"empty_{s}") for s in sections]
+    return check_rows(rows, "snapshot", F.col("decision_date"), [(F.col("decision_date") != expected_date, "decision_date_mismatch"), (F.col("n_tickers") != F.col("n_universe"), "size_mismatch")], empty)
+
+
+def check_outputs(spark: SparkSession, paths: dict[str, str], status: str | None = None, status_path: str | None = None) -> DataFrame:
+    """One row per dataset: failed when it is absent, unreadable or empty; with a status file, that must say ``status``."""
+    rows = []
+    for name, path in paths.items():
+        try:
+            n = spark.read.parquet(path).limit(1).count()
+            rows.append((name, "" if n else "empty"))
+        except AnalysisException:
+            rows.append((name, "missing"))
+    if status_path is not None:
+        try:
+            said = spark.read.json(status_path).select("status").first()
+        except AnalysisException:
+            said = None
+        rows.append(("summary", "" if said and said[0] == status else "status"))
+    found = spark.createDataFrame(rows, "name string, problem string")
+    return check_rows(found, "outputs", F.col("name"), [(F.col("problem") == p, p) for p in ("missing", "empty", "status")])
 
 
 def summarize(checks: DataFrame) -> DataFrame:

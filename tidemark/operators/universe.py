@@ -44,3 +44,24 @@ def clean_tickers(df: DataFrame, pad: bool) -> DataFrame:
 
 def member_count(df: DataFrame, condition: Column) -> DataFrame:
     return df.agg(F.count_if(condition).alias("n"))
+
+
+def in_order(listing: DataFrame) -> DataFrame:
+    """A universe by (market, ticker)."""
+    return listing.orderBy("market", "ticker")
+
+
+def all_tickers(listings: list[DataFrame]) -> DataFrame:
+    """Every normalized ticker of several listings once, in order."""
+    rows = listings[0].select("ticker")
+    for x in listings[1:]:
+        rows = rows.union(x.select("ticker"))
+    return rows.select(normalize_ticker(F.col("ticker").cast("string")).alias("ticker")).distinct().orderBy("ticker")
+
+
+def index_members(table: DataFrame, fallback: DataFrame) -> DataFrame:
+    """Members of an index: share classes are written with a dash; a fixed list stands in for an empty table."""
+    chosen = table.select("ticker", "name", "sector", F.lit(0).alias("rank")).unionByName(fallback.select("ticker", "name", "sector", F.lit(1).alias("rank")))
+    first = chosen.agg(F.min("rank").alias("first"))
+    kept = chosen.join(F.broadcast(first), F.col("rank") == F.col("first")).drop("rank", "first")  # one row
+    return kept.withColumn("ticker", F.replace(F.upper(F.trim("ticker")), F.lit("."), F.lit("-"))).orderBy("ticker")

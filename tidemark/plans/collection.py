@@ -51,7 +51,7 @@ def last_valuation_of_month(spark: SparkSession, sf: str) -> DataFrame:
 def news_catalog_window(spark: SparkSession, sf: str) -> DataFrame:
     """Items of the window once per address; the earliest captured day wins."""
     catalog = A.news(spark, sf)
-    tickers = catalog.where("ticker % 2 = 0").select("ticker").distinct()
+    tickers = catalog.select("ticker").distinct()
     return news.build_window(catalog, tickers, at(), 20).select("ticker", "date", "url", "seq")
 
 
@@ -89,8 +89,7 @@ def map_merge_last_wins(spark: SparkSession, sf: str) -> DataFrame:
 
 def charset_decode(spark: SparkSession, sf: str) -> DataFrame:
     """Bytes in the declared character set back to text."""
-    d = A.table(spark, sf, "documents").where("doc_id < 200")
-    text = F.left(F.col("text"), F.lit(80))
+    d, text = A.table(spark, sf, "documents"), F.col("text")
     charset = F.when(F.col("doc_id") % 2 == 0, "UTF-8").otherwise("UTF-16")
     raw = F.when(F.col("doc_id") % 2 == 0, F.encode(text, "UTF-8")).otherwise(F.encode(text, "UTF-16"))
     back = F.when(charset == "UTF-8", F.decode(raw, "UTF-8")).otherwise(F.decode(raw, "UTF-16"))
@@ -160,12 +159,12 @@ SQL = {
         " SELECT ticker, floor(eps * 10000 + 0.5) / 10000 AS eps, floor(bps * 10000 + 0.5) / 10000 AS bps, floor(p / nullif(eps, 0) * 10000 + 0.5) / 10000 AS per, floor(p / nullif(bps, 0) * 10000 + 0.5) / 10000 AS pbr FROM m",
     ),
     "last_valuation_of_month": with_tables("px", " SELECT ticker, strftime(date, '%Y-%m') AS source_month, max(date) AS target_date, arg_max(close, date) AS close FROM px GROUP BY 1, 2"),
-    "news_catalog_window": with_tables("nw", f" SELECT ticker, date, url, seq FROM nw WHERE ticker % 2 = 0 AND date BETWEEN DATE '{NEWS_DAY}' - 19 AND DATE '{NEWS_DAY}' QUALIFY row_number() OVER (PARTITION BY ticker, url ORDER BY date, seq) = 1"),
+    "news_catalog_window": with_tables("nw", f" SELECT ticker, date, url, seq FROM nw WHERE date BETWEEN DATE '{NEWS_DAY}' - 19 AND DATE '{NEWS_DAY}' QUALIFY row_number() OVER (PARTITION BY ticker, url ORDER BY date, seq) = 1"),
     "remaining_work": with_tables("cap", " SELECT ticker, m::DATE AS month FROM (SELECT ticker FROM uni) CROSS JOIN generate_series(DATE '1995-01-01', DATE '1995-12-01', INTERVAL 1 MONTH) AS g(m) EXCEPT SELECT ticker, month FROM cap WHERE ticker % 5 <> 0 OR month(month) % 2 = 0"),
     "closed_months": "WITH m AS (SELECT unnest(generate_series(DATE '1999-06-01', DATE '2000-06-01', INTERVAL 1 MONTH))::DATE AS month) SELECT month, least((last_day(month) - greatest(isodow(last_day(month)) - 5, 0)::INT)::DATE, DATE '1999-12-15') AS decision_date, month < DATE '1999-12-01' AS closed FROM m",
     "checkpoint_batches": with_tables("uni", ", r AS (SELECT ticker, market, ((row_number() OVER (PARTITION BY market ORDER BY ticker) - 1) // 25)::INT AS batch FROM uni) SELECT market, batch, count(*) AS n, min(ticker) AS first_ticker, max(ticker) AS last_ticker FROM r GROUP BY 1, 2"),
     "map_merge_last_wins": with_tables("uni", ", m AS (SELECT market, ticker, CASE WHEN ticker % 3 = 0 THEN market_cap + 1 ELSE market_cap END AS v FROM uni) SELECT market, count(*) AS n, string_agg(ticker || '=' || format('{:,.2f}', v), ';' ORDER BY ticker) AS state FROM m GROUP BY 1"),
-    "charset_decode": "SELECT doc_id, left(text, 80) AS text FROM documents WHERE doc_id < 200",
+    "charset_decode": "SELECT doc_id, text FROM documents",
     "preflight": with_tables(
         "cap st",
         _LAST_Q + f", mc AS (SELECT ticker, arg_max(market_cap, trade_date) AS market_cap FROM cap WHERE trade_date <= DATE '{AS_OF}' AND ticker % 4 <> 0 GROUP BY 1),"

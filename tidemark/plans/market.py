@@ -126,16 +126,38 @@ def missing_partitions(spark: SparkSession, sf: str) -> DataFrame:
 
 def price_source_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """First non-empty price source per ticker and which one it was."""
-    p = A.prices(spark, sf).where("date >= date'2001-10-15'").select("ticker", "date", "close")
+    p = A.prices(spark, sf).select("ticker", "date", "close")
     return asof.first_source([p.where("ticker % 4 = 1"), p.where("ticker % 4 <> 2")], ["ticker"])
 
 
+_INDICATORS = [*(f"roc_{n}" for n in (5, 10, 20, 30, 21, 63, 126, 252)), "bb_mid", "bb_high", "bb_low", "macd", "macd_signal", "rsi_14", "stoch_k", "stoch_d"]
+
+
 def technical_indicator_bars(spark: SparkSession, sf: str) -> DataFrame:
-    """Windowed indicators (moving bands and rates of change) over each ticker's last 300 known bars; the last 60 are returned."""
+    """All indicators over each ticker's last 300 known bars; the last 60 are returned."""
     known = asof.latest_n(asof.as_of_cut(A.prices(spark, sf), day()), ["ticker"], [F.desc("date")], 300)
     bars = asof.latest_n(macro.technical_indicators(known), ["ticker"], [F.desc("date")], 60)
-    cols = {"roc_5": 6, "roc_20": 6, "bb_mid": 6, "stoch_k": 6, "macd": 6, "rsi_14": 6}
-    return bars.select("ticker", "date", *(F.round(c, k).alias(c) for c, k in cols.items()))
+    return bars.select("ticker", "date", *(round_half_up(F.col(c), 6).alias(c) for c in _INDICATORS))
+
+
+def _indicator_sql() -> str:
+    """The same bar by bar: exponential averages by recursion over each ticker's numbered bars."""
+    roc = ", ".join(f"(close / nullif(lag(close, {n}) OVER w, 0)) * 100 - 100 AS roc_{n}" for n in (5, 10, 20, 30, 21, 63, 126, 252))
+    step = lambda old, new, alpha: f"e.{old} + {alpha} * ({new} - e.{old})"
+    rounded = ", ".join(f"floor({c} * 1000000 + 0.5) / 1000000 AS {c}" for c in _INDICATORS)
+    return with_tables(
+        "px",
+        f""", b AS (SELECT ticker, date, close, high, low, row_number() OVER (PARTITION BY ticker ORDER BY date) AS k FROM (SELECT * FROM px WHERE date <= DATE '{AS_OF}' QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= 300)),
+ f AS (SELECT *, {roc}, count(*) OVER w20 = 20 AS whole, avg(close) OVER w20 AS m, stddev_pop(close) OVER w20 AS sd, (close - min(low) OVER w14) / nullif(max(high) OVER w14 - min(low) OVER w14, 0) * 100 AS sr, close - lag(close) OVER w AS mv
+  FROM b WINDOW w AS (PARTITION BY ticker ORDER BY k), w20 AS (PARTITION BY ticker ORDER BY k ROWS 19 PRECEDING), w14 AS (PARTITION BY ticker ORDER BY k ROWS 13 PRECEDING)),
+ g AS (SELECT *, avg(sr) OVER (PARTITION BY ticker ORDER BY k ROWS 2 PRECEDING) AS stoch_k FROM f),
+ h AS (SELECT *, avg(stoch_k) OVER (PARTITION BY ticker ORDER BY k ROWS 2 PRECEDING) AS stoch_d FROM g)"""
+        + f""", e(ticker, k, e12, e26, sig, au, ad) AS (SELECT ticker, k, close, close, 0::DOUBLE, NULL::DOUBLE, NULL::DOUBLE FROM b WHERE k = 1
+  UNION ALL SELECT f.ticker, f.k, {step("e12", "close", "2 / 13")}, {step("e26", "close", "2 / 27")}, {step("sig", "((" + step("e12", "close", "2 / 13") + ") - (" + step("e26", "close", "2 / 27") + "))", "2 / 10")},
+   CASE WHEN f.k = 2 THEN greatest(mv, 0) ELSE {step("au", "greatest(mv, 0)", "1 / 14")} END, CASE WHEN f.k = 2 THEN greatest(-mv, 0) ELSE {step("ad", "greatest(-mv, 0)", "1 / 14")} END FROM e JOIN f ON f.ticker = e.ticker AND f.k = e.k + 1),
+ i AS (SELECT h.*, CASE WHEN whole THEN m END AS bb_mid, CASE WHEN whole THEN m + 2 * sd END AS bb_high, CASE WHEN whole THEN m - 2 * sd END AS bb_low, e12 - e26 AS macd, sig AS macd_signal, CASE WHEN ad = 0 THEN CASE WHEN au = 0 THEN 50 ELSE 100 END ELSE 100 - 100 / (1 + au / ad) END AS rsi_14 FROM h JOIN e USING (ticker, k))
+ SELECT ticker, date, {rounded} FROM i QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= 60""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 QUERIES = {
@@ -170,5 +192,6 @@ SQL = {
     "market_split_union": with_tables("uni", " SELECT DISTINCT ticker, market FROM uni WHERE market LIKE 'A%' OR market LIKE '%A'"),
     "listing_in_caps": with_tables("cap", " SELECT ticker, market FROM uni WHERE ticker IN (SELECT ticker FROM cap WHERE trade_date >= DATE '2001-06-01')"),
     "missing_partitions": with_tables("cap", " SELECT market, month FROM (SELECT DISTINCT market FROM cap) CROSS JOIN (SELECT DISTINCT month FROM cap) EXCEPT SELECT market, month FROM cap WHERE market_cap > 5000000"),
-    "price_source_fallback": with_tables("px", " SELECT ticker, CASE WHEN ticker % 4 = 1 THEN 0 ELSE 1 END::INT AS source_rank, date, close FROM px WHERE date >= DATE '2001-10-15' AND ticker % 4 <> 2"),
+    "price_source_fallback": with_tables("px", " SELECT ticker, CASE WHEN ticker % 4 = 1 THEN 0 ELSE 1 END::INT AS source_rank, date, close FROM px WHERE ticker % 4 <> 2"),
+    "technical_indicator_bars": _indicator_sql(),
 }

@@ -172,7 +172,7 @@ def normalize_ticker(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parse_news_dates(spark: SparkSession, sf: str) -> DataFrame:
-    e = A.table(spark, sf, "events").where("event_id < 3000")
+    e = A.table(spark, sf, "events")
     k, d = F.col("event_id") % 6, F.col("ts")
     raw = (
         F.when(k == 0, F.date_format(d, "yyyy.MM.dd HH:mm")).when(k == 1, F.date_format(d, "MM/dd")).when(k == 2, F.concat((F.col("event_id") % 59).cast("string"), F.lit("분전")))
@@ -259,7 +259,7 @@ SQL = {
     "dq_summary": with_tables("px uni st", f""", {_DQP}, {_DQF} SELECT "check", count(*) AS n, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'degraded') AS degraded FROM (FROM dp UNION ALL FROM df) GROUP BY 1"""),
     "dq_roll_up": with_tables("px uni st", f""", {_DQP}, {_DQF}, s AS (SELECT max(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) AS l FROM dp UNION ALL SELECT max(CASE WHEN status = 'failed' THEN 2 ELSE 0 END) FROM df)
  SELECT CASE max(l) WHEN 2 THEN 'failed' WHEN 1 THEN 'degraded' ELSE 'ok' END AS status, (CASE max(l) WHEN 2 THEN 1 WHEN 1 THEN 2 ELSE 0 END)::INT AS exit_code FROM s"""),
-    "price_order_check": "WITH s AS (SELECT o_custkey AS ticker, o_orderdate::DATE >= lag(o_orderdate::DATE) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS up FROM orders) SELECT ticker, coalesce(bool_and(up), true) AS is_sorted FROM s GROUP BY 1",
+    "price_order_check": "WITH s AS (SELECT o_custkey AS ticker, o_orderdate::DATE >= lag(o_orderdate::DATE) OVER w AS up, o_orderdate::DATE <= lag(o_orderdate::DATE) OVER w AS down FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)) SELECT ticker, coalesce(bool_and(up), true) AS is_sorted, coalesce(bool_and(up), true) OR coalesce(bool_and(down), true) AS either_way FROM s GROUP BY 1",
     "failure_histogram": "WITH f AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'KR' ELSE 'US' END AS market, CASE event_id % 5 WHEN 0 THEN 'invalid symbol or no data' WHEN 1 THEN 'status=400 LOGOUT' ELSE event_type END AS reason, user_id FROM events) SELECT market, reason, count(DISTINCT user_id) AS tickers, min(user_id) AS example FROM f GROUP BY 1, 2",
     "html_to_text": f"SELECT page_id, md5({_MARKUP}) AS text_md5 FROM pages",
     "filing_text_gate": "SELECT doc_id, length(substr(text, 1, 8000))::INT AS n, length(substr(text, 1, 8000)) > 300 AS us_ok, true AS kr_ok FROM documents WHERE length(text) > 60",
@@ -267,7 +267,7 @@ SQL = {
  SELECT o_orderkey, floor(v / 1000 * 10 + 0.5) / 10 AS amount, floor(v * 100 + 0.5) / 100 AS eps, CASE WHEN k <> 1 THEN v END AS number FROM a""",
     "normalize_ticker": "WITH r AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'A' || c_custkey WHEN c_custkey % 4 = 1 THEN c_mktsegment ELSE (c_custkey * 12347)::VARCHAR END AS t FROM customer), d AS (SELECT *, regexp_replace(t, '[^0-9]', '', 'g') AS n FROM r) SELECT c_custkey, CASE WHEN n = '' THEN t WHEN length(n) < 6 THEN lpad(n, 6, '0') ELSE n END AS ticker FROM d",
     "parse_news_dates": f"""SELECT event_id, CASE event_id % 6 WHEN 0 THEN ts::DATE WHEN 1 THEN CASE WHEN ts::DATE > {_D} THEN (ts - INTERVAL 1 YEAR)::DATE ELSE ts::DATE END WHEN 2 THEN {_D} WHEN 3 THEN {_D} WHEN 4 THEN {_D} - (event_id % 9)::INT END AS d,
- CASE event_id % 6 WHEN 0 THEN date_trunc('minute', ts) WHEN 1 THEN CASE WHEN ts::DATE > {_D} THEN (ts - INTERVAL 1 YEAR)::DATE ELSE ts::DATE END WHEN 2 THEN {_D} WHEN 3 THEN {_D} WHEN 4 THEN {_D} - (event_id % 9)::INT END::TIMESTAMP AS t FROM events WHERE event_id < 3000""",
+ CASE event_id % 6 WHEN 0 THEN date_trunc('minute', ts) WHEN 1 THEN CASE WHEN ts::DATE > {_D} THEN (ts - INTERVAL 1 YEAR)::DATE ELSE ts::DATE END WHEN 2 THEN {_D} WHEN 3 THEN {_D} WHEN 4 THEN {_D} - (event_id % 9)::INT END::TIMESTAMP AS t FROM events""",
     "ecos_period_parse": """WITH o AS (SELECT o_orderkey, o_orderdate::DATE AS d, substr('DMQA', (o_orderkey % 4 + 1)::INT, 1) AS period, o_orderkey % 9 = 0 AS bad FROM orders)
  SELECT o_orderkey, period, CASE WHEN bad THEN NULL WHEN period = 'D' THEN d WHEN period = 'M' THEN date_trunc('month', d) WHEN period = 'Q' THEN date_trunc('quarter', d) ELSE date_trunc('year', d) END::DATE AS first_day,
  CASE period WHEN 'D' THEN strftime(d - 730, '%Y%m%d') WHEN 'M' THEN (year(d) - 4) || '01' WHEN 'Q' THEN (year(d) - 6) || 'Q1' ELSE (year(d) - 10)::VARCHAR END AS from_token,
