@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import BLANKS, keep, small_or_plain
@@ -18,6 +18,8 @@ MIN_WORDS = 50
 _BLANK_BYTES = BLANKS.encode()
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _NONE = -(1 << 63)
+#: Bits of a place that hold the word's place in its text; the others hold the text's rank among those with repeats.
+_AT_BITS = 28
 _SPANS = "array<struct<first:int,last:int>>"
 #: Odd bases of the two window hashes and their inverses modulo 2^64.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -80,45 +82,64 @@ def marks_of(docs: DataFrame, min_words: int) -> DataFrame:
                 if len(words) < min_words:
                     continue
                 hashes, least = fingerprints(words, grams, min_words)
-                names = np.unique(least)
-                places, n = np.unique(hashes[np.isin(hashes, names)], return_counts=True)
+                names = np.unique(least[np.flatnonzero(np.diff(least, prepend=~least[:1]))])
+                ranked = np.sort(hashes)
+                twice = ranked[1:][ranked[1:] == ranked[:-1]]
                 docs_.append(doc)
                 keys.append(key)
                 sizes.append(len(words))
                 prints.append(names.view(np.int64))
-                again.append(places[n > 1].view(np.int64))
+                again.append(np.intersect1d(names, twice).view(np.int64))
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.record_batch([pa.array(c, k) for c, k in zip((docs_, keys, sizes, prints, again), kinds, strict=True)], ["doc_id", "text_key", "n_words", "prints", "again"])
 
     return docs.select("doc_id", "text_key", F.col("text").cast("binary")).mapInArrow(run, "doc_id bigint, text_key bigint, n_words int, prints array<bigint>, again array<bigint>")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """Adds ``rank``, the place of a row in the order of (doc_id, text_key): its place in a sorted partition and a prefix sum over partitions."""
+    rows = keep(docs.repartitionByRange("doc_id", "text_key").sortWithinPartitions("doc_id", "text_key").withColumn("m", F.monotonically_increasing_id()), "line-numbered")
+    part = F.shiftright("m", 33)
+    # one row per partition meets in one task and is broadcast
+    sizes = rows.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    bases = sizes.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    return rows.withColumn("part", part).join(F.broadcast(bases), "part").withColumn("rank", F.col("base") + F.col("m").bitwiseAND(F.lit((1 << 33) - 1))).drop("part", "base", "m")
+
+
 def windows(docs: DataFrame, min_words: int) -> DataFrame:
-    """Every run of ``min_words`` words whose fingerprint is in the document's ``shared``: its first word and 128-bit hash."""
+    """Every run of ``min_words`` words whose fingerprint is in the document's ``shared``: its place and 128-bit hash.
+
+    A place is the document's rank and the run's first word in one number, so that places compare like documents do.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for batch in batches:
-            shared = batch.column(3)
-            for i, (doc, key, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)):
+            shared = batch.column(2)
+            for i, (rank, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2)), strict=True)):
                 words = word_hashes(text or b"")
+                if len(words) >> _AT_BITS or rank >> 63 - _AT_BITS:
+                    raise ValueError("a text or the corpus is too large for places of 64 bits")
                 wanted = shared[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
                 at = np.flatnonzero(np.isin(fingerprints(words, grams, min_words)[1], wanted))
                 a, b = grams(words, min_words, 0)[at], grams(_mix(words), min_words, 1)[at]
+                place = (rank << _AT_BITS) + at
                 for lo in range(0, len(at), 100_000):
                     cut = slice(lo, lo + 100_000)
-                    n = len(at[cut])
-                    yield pa.record_batch([pa.array([doc] * n, pa.int64()), pa.array(np.full(n, key, np.int64)), pa.array(at[cut].astype(np.int32)), pa.array(a[cut].view(np.int64)), pa.array(b[cut].view(np.int64))], ["doc_id", "text_key", "at", "a", "b"])
+                    yield pa.record_batch([pa.array(place[cut]), pa.array(a[cut].view(np.int64)), pa.array(b[cut].view(np.int64))], ["place", "a", "b"])
 
-    return docs.select("doc_id", "text_key", F.col("text").cast("binary"), "shared").mapInArrow(run, "doc_id bigint, text_key bigint, at int, a bigint, b bigint")
+    return docs.select("rank", F.col("text").cast("binary"), "shared").mapInArrow(run, "place bigint, a bigint, b bigint")
 
 
 def repeated_starts(wins: DataFrame) -> DataFrame:
-    """First words of the runs that repeat an earlier one: (doc_id, text_key, starts)."""
-    place = lambda: F.struct(F.coalesce("doc_id", F.lit(_NONE)).alias("d"), F.col("text_key").alias("k"), F.col("at").alias("f"))
-    origin = wins.groupBy("a", "b").agg(F.min(place()).alias("origin"), F.count("*").alias("n")).where("n > 1").select("a", "b", "origin")
-    later = wins.join(origin, ["a", "b"]).where(place() != F.col("origin"))
-    return later.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list("at")).alias("starts"))
+    """First words of the runs that repeat an earlier one: (rank, starts).
+
+    Origins are sums within tasks first; they are written, so that a run that very many texts share is a skewed join,
+    which Spark splits.
+    """
+    origin = keep(wins.groupBy("a", "b").agg(F.min("place").alias("origin"), F.count("*").alias("n")).where("n > 1").select("a", "b", "origin"), "line-origins")
+    later = wins.join(origin, ["a", "b"]).where("place <> origin")
+    return later.groupBy(F.shiftright("place", _AT_BITS).alias("rank")).agg(F.array_sort(F.collect_list(F.col("place").bitwiseAND(F.lit((1 << _AT_BITS) - 1)).cast("int"))).alias("starts"))
 
 
 def merged(starts: np.ndarray, min_words: int) -> list[tuple[int, int]]:
@@ -166,25 +187,27 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"\n".join(out)
 
 
-def without_spans(text: Column, starts: Column, copy: Column, min_words: int) -> Column:
-    """Struct of the text that is left and the merged spans that went; nulls where nothing goes."""
-
-    @F.arrow_udf(f"struct<text:string,removed:{_SPANS}>")
-    def run(texts: pa.Array, starts_: pa.Array, copies: pa.Array) -> pa.Array:
-        left, spans = [], []
-        for i, (t, c) in enumerate(zip(texts.to_pylist(), copies.to_pylist(), strict=True)):
-            own = None
-            if t is not None and c is not None:
-                own = [(0, c - 1)]
-            elif t is not None and starts_[i].is_valid:
-                own = merged(starts_[i].values.to_numpy(zero_copy_only=False), min_words)
-            left.append(cut(t, own).decode() if own else None)
-            spans.append([{"first": a, "last": b} for a, b in own] if own else [])
+def to_spans(starts: DataFrame, min_words: int) -> DataFrame:
+    """(rank, starts) as (rank, spans): merged, so that what is joined to the texts stays small."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-        return pa.StructArray.from_arrays([pa.array(left, pa.string()), pa.array(spans, kind)], ["text", "removed"])
+        for batch in batches:
+            own = [merged(batch.column(1)[i].values.to_numpy(zero_copy_only=False), min_words) for i in range(batch.num_rows)]
+            yield pa.record_batch([batch.column(0), pa.array([[{"first": a, "last": b} for a, b in x] for x in own], kind)], ["rank", "spans"])
+
+    return starts.mapInArrow(run, f"rank bigint, spans {_SPANS}")
+
+
+def without_spans(text: Column, spans: Column) -> Column:
+    """The text that is left; null where nothing goes."""
+
+    @F.arrow_udf("string")
+    def run(texts: pa.Array, spans_: pa.Array) -> pa.Array:
+        pairs = zip(texts.to_pylist(), spans_.to_pylist(), strict=True)
+        return pa.array([cut(t, [(x["first"], x["last"]) for x in own]).decode() if t is not None and own else None for t, own in pairs], pa.string())
 
-    found = starts.isNotNull() | copy.isNotNull()
-    return run(F.when(found, text.cast("binary")), starts, copy)
+    return run(F.when(spans.isNotNull(), text.cast("binary")), spans)
 
 
 def passage_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -203,25 +226,29 @@ def passage_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     texts = keyed.select(F.col("doc_id").cast("bigint"), "text_key", "text")
     marks = keep(marks_of(texts, min_words), "line-marks")
     # all of a text that an earlier document holds as a whole goes; only its first document takes part in the matching
-    one = marks.groupBy("text_key").agg(F.min(F.coalesce("doc_id", F.lit(_NONE))).alias("d0"), F.max("n_words").alias("n_words"), F.count("*").alias("n")).where("n > 1").select(F.col("text_key").alias("k0"), "d0")
-    ranked = marks.join(one, F.col("text_key") == F.col("k0"), "left").withColumn("is_copy", F.coalesce(F.coalesce("doc_id", F.lit(_NONE)) > F.col("d0"), F.lit(False)))
-    first = ranked.where("not is_copy").dropDuplicates(["doc_id", "text_key"])
+    one = marks.groupBy("text_key").agg(F.min(F.coalesce("doc_id", F.lit(_NONE))).alias("d0"), F.count("*").alias("n")).where("n > 1").select(F.col("text_key").alias("k0"), "d0")
+    ranked = marks.join(small_or_plain(keep(one, "line-copied")), F.col("text_key") == F.col("k0"), "left").withColumn("is_copy", F.coalesce(F.coalesce("doc_id", F.lit(_NONE)) > F.col("d0"), F.lit(False)))
+    first = ranked.where("not is_copy")
     prints = first.select("doc_id", "text_key", F.explode("prints").alias("fp"), "again").select("doc_id", "text_key", "fp", F.array_contains("again", F.col("fp")).alias("again"))
     prints = keep(prints, "line-prints")
-    known = prints.groupBy("fp").agg(F.count("*").alias("n"), F.bool_or("again").alias("again")).where("n > 1 or again").select("fp")
-    shared = prints.join(known, "fp").groupBy("doc_id", "text_key").agg(F.collect_list("fp").alias("shared"))
+    known = keep(prints.groupBy("fp").agg(F.count("*").alias("n"), F.bool_or("again").alias("again")).where("n > 1 or again").select("fp"), "line-known")
+    shared = numbered(prints.join(small_or_plain(known), "fp").groupBy("doc_id", "text_key").agg(F.collect_set("fp").alias("shared")))
+    shared = keep(shared, "line-shared")
     named = lambda df: df.withColumnsRenamed({"doc_id": "_tm_doc", "text_key": "_tm_key"})
     on = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_tm_doc")) & (F.col("text_key") == F.col("_tm_key"))
-    source = texts.join(named(shared), on).select("doc_id", "text_key", "text", "shared")
+    # rows equal in id and text have one rank and equal places, so they are no repeats of each other
+    source = texts.join(small_or_plain(named(shared)), on).select("rank", "text", "shared")
     wins = keep(windows(source, min_words), "line-windows")
-    copies = ranked.where("is_copy").select("doc_id", "text_key", F.lit(None).cast("array<int>").alias("starts"), F.col("n_words").alias("copy")).distinct()
-    spans = repeated_starts(wins).withColumn("copy", F.lit(None).cast("int")).unionByName(copies)
-    spans = keep(spans, "line-spans").select(F.col("doc_id").alias("_tm_doc"), F.col("text_key").alias("_tm_key"), F.col("starts").alias("_tm_starts"), F.col("copy").alias("_tm_copy"))
-    out = keyed.join(small_or_plain(spans, 100_000), on, "left").drop("_tm_doc", "_tm_key", "text_key")
-    out = out.withColumn("_tm_cut", without_spans(F.col("text"), F.col("_tm_starts"), F.col("_tm_copy"), min_words)).drop("_tm_starts", "_tm_copy")
-    out = out.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("bigint")).withColumn("removed", F.col("_tm_cut.removed"))
+    whole = F.array(F.struct(F.lit(0).alias("first"), (F.col("n_words") - 1).alias("last")))
+    copies = ranked.where("is_copy").select("doc_id", "text_key", whole.alias("spans")).distinct()
+    found = shared.select("rank", "doc_id", "text_key").join(to_spans(repeated_starts(wins), min_words), "rank").select("doc_id", "text_key", "spans")
+    spans = keep(found.unionByName(copies), "line-spans").select(F.col("doc_id").alias("_tm_doc"), F.col("text_key").alias("_tm_key"), F.col("spans").alias("_tm_spans"))
+    out = keyed.join(small_or_plain(spans), on, "left").drop("_tm_doc", "_tm_key", "text_key")
+    out = out.withColumn("_tm_cut", without_spans(F.col("text"), F.col("_tm_spans")))
+    out = out.withColumn("n_lines", F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("bigint"))
+    out = out.withColumn("removed", F.coalesce("_tm_spans", F.array().cast(_SPANS))).drop("_tm_spans")
     out = out.withColumn("n_removed", F.aggregate("removed", F.lit(0).cast("bigint"), lambda a, s: a + s["last"] - s["first"] + 1))
-    out = out.withColumn("text", F.when(F.size("removed") == 0, F.col("text")).otherwise(F.col("_tm_cut.text")))
+    out = out.withColumn("text", F.when(F.size("removed") == 0, F.col("text")).otherwise(F.col("_tm_cut")))
     if "n_chars" in rest:
         kind = dict(docs.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.when(F.size("removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind)))
