@@ -13,12 +13,13 @@ from tidemark.llm.shared import fresh_path
 from tidemark.llm.tokenizing import TokenEncoder
 
 WORD, BYTE = P.path("word_bpe_49k.json"), P.path("byte_bpe_50k.json")
+LIBRARY = {p: Tokenizer.from_file(p) for p in (WORD, BYTE)}
+SPECIAL = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", " ", "endoftext", "a", "\n", ".", "É", "<|endof\u0301text|>"]
 ENCODERS = {p: TokenEncoder(p, most_units=50) for p in (WORD, BYTE)}
 
 
 def reference(path, texts):
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     return [e.ids for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -28,10 +29,18 @@ def crc(ids):
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
 @settings(max_examples=150, deadline=None)
-@given(text=st.one_of(st.text(max_size=60), st.text(alphabet="aZé ß'sdt\n\t.,!*12_\u00a0\x1f\u0301İ", max_size=60)))
+@given(text=st.one_of(st.text(max_size=60), st.text(alphabet="aZé ß'sdt\n\t.,!*12_\u00a0\x1f\u0301İ", max_size=60), st.lists(st.sampled_from(SPECIAL), max_size=8).map("".join)))
 def test_encoder_equals_library(path, text):
     e = ENCODERS[path]
-    assert np.frombuffer(e.encode_bytes(text), e.dtype).tolist() == e.tok.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(e.encode_bytes(text), e.dtype).tolist() == LIBRARY[path].encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_special_strings_are_the_library_s(path):
+    text = "hello <|endoftext|> world"
+    ids = reference(path, [text])[0]
+    assert np.frombuffer(ENCODERS[path].encode_bytes(text), ENCODERS[path].dtype).tolist() == ids
+    assert LIBRARY[path].token_to_id("<|endoftext|>") in ids
 
 
 def documents(spark):
@@ -85,6 +94,28 @@ def test_digest(spark):
     assert tokenfiles.query(spark, SMALL).where("doc_id = 1").first().ids_crc32 == crc([*reference(WORD, [text])[0], 1])
 
 
+def test_odd_rows(spark):
+    """Special strings, rows of one id with other texts, and a store that is read by byte ranges."""
+    rows = [(2, "a <|endoftext|> b"), (1, "x"), (1, "y z"), (1, "x"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted((d, tuple([*ids, 1])) for (d, _), ids in zip(rows, reference(WORD, [t for _, t in rows]), strict=True))
+    got = tokenfiles.read_token_files(tokenfiles.write_token_files(docs, fresh_path(spark, "t"), WORD)).collect()
+    assert sorted((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in got) == want
+    packed = {}
+    for p in sorted(packing.pack_concat(docs, BYTE).collect(), key=lambda p: (p.sequence_id, p.offset)):
+        packed.setdefault(p.doc_id, []).extend(np.frombuffer(p.ids, "<u4").tolist())
+    ids = reference(BYTE, ["a <|endoftext|> b"])[0]
+    assert packed[2] == [*ids, 1]
+
+
+def test_stored_ranges(tmp_path):
+    np.arange(100, dtype="<u2").tofile(tmp_path / "x.bin")
+    stored = tokenfiles.Stored(f"file://{tmp_path}/x.bin", "<u2")
+    mapped, stored.mapped = stored.mapped, None
+    stored.file = tokenfiles._open_fs(f"file://{tmp_path}")[0].open_input_file(str(tmp_path / "x.bin"))
+    assert stored[10:20].tolist() == mapped[10:20].tolist() == list(range(10, 20))
+
+
 def test_empty(spark, no_docs):
     assert packing.pack_concat(no_docs, BYTE).count() == 0
     assert tokenfiles.read_token_files(tokenfiles.write_token_files(no_docs, fresh_path(spark, "t"), WORD)).count() == 0

@@ -16,6 +16,8 @@ from tidemark.llm.tokenizing import encoder
 
 #: Stands for a null doc_id in the document file.
 NULL_DOC = np.iinfo(np.int64).min
+#: Bytes of text in a part on average, at most.
+PART_BYTES = 256 << 20
 _MANIFEST = "part int, path string, dtype string, n_docs bigint, n_tokens bigint"
 _ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
 
@@ -26,18 +28,25 @@ def _open_fs(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri.removeprefix("file:"))
 
 
-def _map(uri: str, dtype: str) -> np.ndarray:
-    """A file as an array: memory-mapped where the store is a mounted folder, else read."""
-    from pyarrow import fs
+class Stored:
+    """A file of numbers of which slices are read: memory-mapped where the store is a mounted folder, else by byte ranges."""
+
+    def __init__(self, uri: str, dtype: str):
+        from pyarrow import fs
+
+        store, path = _open_fs(uri)
+        self.dtype, self.mapped, self.file = np.dtype(dtype), None, None
+        if isinstance(store, fs.LocalFileSystem):
+            self.mapped = np.memmap(path, dtype, "r") if store.get_file_info(path).size else np.zeros(0, dtype)
+        else:
+            self.file = store.open_input_file(path)
 
-    store, path = _open_fs(uri)
-    size = store.get_file_info(path).size
-    if size == 0:
-        return np.zeros(0, dtype)
-    if isinstance(store, fs.LocalFileSystem):
-        return np.memmap(path, dtype, "r")
-    with store.open_input_file(path) as f:
-        return np.frombuffer(f.read(), dtype)
+    def __getitem__(self, places: slice) -> np.ndarray:
+        lo, hi = int(places.start), int(places.stop)
+        if self.mapped is not None:
+            return self.mapped[lo:hi]
+        width = self.dtype.itemsize
+        return np.frombuffer(self.file.read_at((hi - lo) * width, lo * width), self.dtype)
 
 
 def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 1) -> DataFrame:
@@ -46,7 +55,8 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
     Part p owns three files: ``.bin`` with ids in the narrowest of 16 or 32 unsigned bits, ``.idx`` with n+1 unsigned
     64-bit offsets into it and ``.doc`` with the doc_ids. A task writes under a name of its own and renames at the
     end, so that a repeated task does no harm. Null texts are empty (end id alone); null doc_ids come first; rows with
-    the same doc_id are all kept, side by side; other columns are ignored; an empty table has an empty manifest.
+    the same doc_id are all kept, side by side, by text; very long texts are encoded whole; other columns are ignored; an
+    empty table has an empty manifest. The number of parts follows the bytes of text.
     """
     spark = docs.sparkSession
 
@@ -81,7 +91,9 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     # texts break ties, so that every attempt of a task writes the same bytes
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     manifest = keep(ordered.mapInArrow(run, _MANIFEST), "token-manifest")
     # one row per part meets in one task
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -96,14 +108,12 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, idx, docs = _map(f"{row['path']}.bin", row["dtype"]), _map(f"{row['path']}.idx", "<u8").astype(np.int64), _map(f"{row['path']}.doc", "<i8")
+                ids, idx, docs = Stored(f"{row['path']}.bin", row["dtype"]), Stored(f"{row['path']}.idx", "<u8"), Stored(f"{row['path']}.doc", "<i8")
                 for lo in range(0, row["n_docs"], 1000):
                     hi = min(lo + 1000, row["n_docs"])
-                    blobs = [ids[idx[i] : idx[i + 1]].astype("<u4").tobytes() for i in range(lo, hi)]
-                    yield pa.record_batch(
-                        [pa.array(docs[lo:hi].astype(np.int64), mask=docs[lo:hi] == NULL_DOC), pa.array(row["base"] + idx[lo:hi]), pa.array(np.diff(idx[lo : hi + 1])), pa.array(blobs, pa.binary())],
-                        ["doc_id", "start", "n_tokens", "ids"],
-                    )
+                    at, names = idx[lo : hi + 1].astype(np.int64), docs[lo:hi].astype(np.int64)
+                    blobs = [ids[p:q].astype("<u4").tobytes() for p, q in zip(at[:-1], at[1:], strict=True)]
+                    yield pa.record_batch([pa.array(names, mask=names == NULL_DOC), pa.array(row["base"] + at[:-1]), pa.array(np.diff(at)), pa.array(blobs, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
     # every part is a task of its own
     spread = manifest.withColumn("slot", F.row_number().over(Window.orderBy("part")) - 1).repartitionById(n, F.col("slot").cast("int")).drop("slot")

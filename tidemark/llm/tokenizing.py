@@ -17,6 +17,7 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: White space or separators on which Python and the tokenizers may differ.
 _ODD = re.compile("[" + "".join(map(chr, (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200E), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF))) + "]")
 _SIMPLE = re.compile(f"( ?)([{_LETTERS}]*)([{_PUNCT}]*)")
+_SIGNS = re.compile("[!-/:-@\\[-`{-~]+")
 _UNITS = re.compile(r" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]")
 
 
@@ -36,8 +37,8 @@ class TokenEncoder(dict):
     Pre-tokenization never crosses white space in the two supported layouts (lower-cased words with word ends;
     byte-level pieces that own one leading space), so a text is cut there and each distinct unit is encoded once.
     Units of plain letters and punctuation go straight to the vocabulary model; all others, texts with unusual
-    white space, and tokenizers of any other layout go through the whole pipeline of the library. The memory is
-    bounded by ``most_units``; it starts anew when full. Special-token strings in a text are ordinary text.
+    white space or with what may be an added token's string, and tokenizers of any other layout go through the whole
+    pipeline of the library. The memory is bounded by ``most_units``; it starts anew when full.
     """
 
     def __init__(self, path: str, most_units: int = 700_000):
@@ -45,7 +46,6 @@ class TokenEncoder(dict):
 
         super().__init__()
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.model, self.most_units = self.tok.model, most_units
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
@@ -59,6 +59,11 @@ class TokenEncoder(dict):
             self.layout = "byte"
         elif steps == ["NFC", "Replace", "Lowercase"] and inner == ["Split", "ByteLevel"] and pre["pretokenizers"][0].get("behavior") == "Removed":
             self.layout = "word"
+        # normalizers leave ASCII signs as they are, so an added token can only be where its signs are
+        signs = [max(_SIGNS.findall(x["content"]), key=len, default="") for x in spec.get("added_tokens") or []]
+        self._marks = sorted({x for x in signs if x})
+        if not all(signs):
+            self.layout = "whole"
 
     def _pack(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self._code}", *ids)
@@ -85,7 +90,7 @@ class TokenEncoder(dict):
         """Ids of a whole text as little-endian integers of ``dtype``; null counts as empty."""
         if not text:
             return b""
-        if self.layout == "whole" or _ODD.search(text):
+        if self.layout == "whole" or _ODD.search(text) or any(m in text for m in self._marks):
             return self._pack(self.tok.encode(text, add_special_tokens=False).ids)
         units = text.split() if self.layout == "word" else _UNITS.findall(text)
         return b"".join(map(self.__getitem__, units))
