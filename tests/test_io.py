@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tidemark import sinks, snapshot
-from tidemark.operators import quality
+from tidemark.operators import quality, universe
 from tidemark.sources import adapters as A
 from tidemark.sources import readers, synthetic
 from tidemark.streaming import catalog
@@ -109,3 +109,48 @@ def test_stream_windows(spark):
     e = spark.read.parquet(f"{SMALL}/events.parquet")
     out = catalog.windowed_counts(e)
     assert out.agg(F.sum("n")).first()[0] == e.count()
+
+
+def test_profiles(spark):
+    full, none = (snapshot.Tables(*(spark.range(k) for _ in range(7))) for k in (2, 0))
+    assert snapshot.tables_of("official", full, none).news.count() == 2
+    safe = snapshot.tables_of("ci_safe", full, none, quarters=spark.range(5))
+    assert (safe.universe.count(), safe.prices.count(), safe.quarters.count()) == (2, 0, 5)
+    try:
+        snapshot.tables_of("other", full, none)
+        raise AssertionError
+    except ValueError as e:
+        assert "ci_safe" in str(e)
+
+
+def test_charsets(spark):
+    from tidemark.functions.text import sniff_charset
+
+    rows = [("한글".encode("euc-kr"), None), ("한글".encode("euc-kr"), "text/html; charset=EUC-KR"), ("한글".encode(), "text/html; charset=ascii"), ("한글".encode("utf-16"), "x; charset=utf-16"), (None, None), (b"", "text/html")]
+    got = spark.createDataFrame(rows, "b binary, h string").select(sniff_charset(F.col("b"), F.col("h")).alias("t")).collect()
+    assert [r.t for r in got] == ["한글", "한글", "한글", "한글", None, ""]
+
+
+def test_page_text_against_a_plain_parser(spark):
+    """The registered query equals a plain reading of the markup on all pages."""
+    import html as H
+    import re
+
+    from tidemark.plans.inputs import html_to_text_us
+
+    raw = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
+    for r in html_to_text_us(spark, SMALL).collect():
+        page = re.sub(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<!doctype[^>]*>", "", raw[r.page_id])
+        words = H.unescape(re.sub(r"(?s)</?[a-zA-Z][^>]*>", " ", page)).split()
+        assert (r.text or "").split() == words
+
+
+def test_sector_snapshot_without_a_usable_one(spark):
+    df = spark.createDataFrame([("1", "x")], "Code string, Other string")
+    assert readers.sector_snapshot([("1999-01-01", df)], "1999-12-31") is None
+
+
+def test_index_members_fall_back(spark):
+    shape = "ticker string, name string, sector string"
+    none, some = spark.createDataFrame([], shape), spark.createDataFrame([("brk.b", "B", "F")], shape)
+    assert [r.ticker for r in universe.index_members(none, some).collect()] == ["BRK-B"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,10 +55,9 @@ def in_order(listing: DataFrame) -> DataFrame:
 
 def all_tickers(listings: list[DataFrame]) -> DataFrame:
     """Every normalized ticker of several listings once, in order."""
-    rows = listings[0].select("ticker")
-    for x in listings[1:]:
-        rows = rows.union(x.select("ticker"))
-    return rows.select(normalize_ticker(F.col("ticker").cast("string")).alias("ticker")).distinct().orderBy("ticker")
+    names = [x.select(F.col("ticker").cast("string").alias("ticker")) for x in listings]
+    rows = reduce(DataFrame.union, names)
+    return rows.select(normalize_ticker(F.col("ticker")).alias("ticker")).distinct().orderBy("ticker")
 
 
 def index_members(table: DataFrame, fallback: DataFrame) -> DataFrame:

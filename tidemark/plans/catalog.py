@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import collection, macro, market, news, statements
+from tidemark.plans import collection, inputs, macro, market, news, outputs, statements
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (market, statements, macro, news, collection)
+MODULES = (market, statements, macro, news, collection, inputs, outputs)
 
 
 def queries() -> dict[str, Query]:

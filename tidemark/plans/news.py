@@ -146,7 +146,7 @@ def filing_text_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 def filing_sections(spark: SparkSession, sf: str) -> DataFrame:
     """Sections of annual reports made of document texts under headings, contents entries first."""
-    d = A.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    d = A.table(spark, sf, "documents").select("doc_id", F.regexp_replace(F.coalesce("text", F.lit("")), r"[<>&\s]+", " ").alias("text"))
     page = F.concat(F.lit("<p>Item 1. Business</p>\n<p>Item 1A. Risk Factors</p>\n<h2>Item 1. Business</h2>\n"), "text", F.lit("\n<h2>Item 1A. Risk Factors</h2>\n"), "text", F.lit("\nItem 8. End"))
     return d.select("doc_id", T.us_sections(page).alias("s")).select("doc_id", F.size("s").alias("n"), F.length(F.col("s")["business_overview"]).alias("business_chars"), F.length(F.col("s")["risks"]).alias("risk_chars"))
 
@@ -230,7 +230,13 @@ _DQF = f"""f AS (SELECT ticker, count(*) AS n, max(report_date) AS last FROM st
  df AS (SELECT 'fundamentals' AS "check", ticker::VARCHAR AS entity, CASE WHEN n IS NULL OR last > DATE '{AS_OF}' THEN 'failed' ELSE 'ok' END AS status, CASE WHEN n IS NULL THEN 'empty' WHEN last > DATE '{AS_OF}' THEN 'future_report_date' ELSE '' END AS detail FROM uni LEFT JOIN f USING (ticker))"""
 _MARKUP = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', chr(10), 'g'), '&nbsp;', ' '), '&#160;', ' '), '&amp;', '&'), chr(13), chr(10)), '\\n{3,}', chr(10) || chr(10), 'g'), '[ \\t]+', ' ', 'g'), '^\\s+', ''), '\\s+$', '')"
 
+_ONE = "regexp_replace(coalesce(text, ''), '[<>&\\t\\n\\x0B\\f\\r ]+', ' ', 'g')"
+_GATED = "CASE WHEN length({0}) > {1} THEN length({0}) END::INT"
+
 SQL = {
+    "filing_sections": f"WITH c AS (SELECT doc_id, substr(trim({_ONE}), 1, 8000) AS b FROM documents) SELECT doc_id, (CASE WHEN length(b) > 300 THEN 2 ELSE 0 END)::INT AS n, {_GATED.format('b', 300)} AS business_chars, {_GATED.format('b', 300)} AS risk_chars FROM c",
+    "kr_filing_sections": f"""WITH o AS (SELECT doc_id, {_ONE} AS t FROM documents), c AS (SELECT doc_id, substr(trim(t), 1, 8000) AS b, trim(substr(t, 1, 7999)) AS m FROM o)
+ SELECT doc_id, (CASE WHEN length(b) > 60 THEN 1 ELSE 0 END + CASE WHEN length(m) > 60 THEN 1 ELSE 0 END)::INT AS n, {_GATED.format('b', 60)} AS business_chars, {_GATED.format('m', 60)} AS mda_chars FROM c""",
     "news_window_30": with_tables("nw", f" SELECT ticker, date, seq FROM nw WHERE date BETWEEN {_D} - 19 AND {_D}"),
     "news_window_31": with_tables("nw", f" SELECT ticker, date, seq FROM nw WHERE date BETWEEN {_D} - 20 AND {_D}"),
     "news_dedupe_keep_first": with_tables("nw", " SELECT ticker, url, seq FROM nw QUALIFY row_number() OVER (PARTITION BY ticker, url ORDER BY date, seq) = 1"),

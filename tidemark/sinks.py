@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
@@ -40,6 +40,39 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     body.write.mode("overwrite").option("compression", "gzip").text(path)
 
 
+def write_snapshot_metadata(df: DataFrame, path: str, as_of: str) -> None:
+    """What a snapshot holds, beside it: its date, rows, and a hash of its sorted lines."""
+    body = snapshot_json(df)
+    digest = F.md5(F.array_join(F.array_sort(F.collect_list(F.md5(F.col("value").cast("binary")))), "").cast("binary"))  # a universe's worth of hashes
+    body.agg(F.lit(as_of).alias("as_of"), F.count("*").alias("rows"), digest.alias("content")).coalesce(1).write.mode("overwrite").json(path)
+
+
+def bundle(universe: DataFrame, quarters: DataFrame, prices: DataFrame, macro: DataFrame, fields: Sequence[str], version: str, status: Column) -> DataFrame:
+    """A bundle's manifest and summary: version, status, sizes, field coverage, warnings, bars per ticker and keys per macro category.
+
+    Counts per ticker are a map, so a bundle is for a universe of thousands of tickers, not millions.
+    """
+    per_ticker = prices.groupBy("ticker").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("ticker").cast("string"), "n")))).alias("bars_by_ticker"))
+    keys = macro.groupBy("category").agg(F.count_distinct("key").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "n")))).alias("macro_keys"))
+    row = manifest(quarters, prices, universe, fields).crossJoin(per_ticker).crossJoin(keys)  # single rows
+    return row.select(F.lit(version).alias("bundle_version"), status.alias("status"), "*")
+
+
+def write_report(row: DataFrame, path: str) -> None:
+    """A single JSON object, such as a manifest, a summary or a run's report."""
+    row.limit(1).coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_dated_frame(df: DataFrame, path: str, names: dict[str, str], as_of: Column) -> None:
+    """Index and sector tables: columns renamed and the date of the request stamped on."""
+    df.withColumnsRenamed(names).withColumn("as_of", as_of).write.mode("overwrite").parquet(path)
+
+
+def checkpoint_due(done: Column, seconds: Column, total: Column, every: int = 25, most_seconds: int = 300) -> Column:
+    """Why a run's state is written now: the work is over, enough items are done, or enough time has passed; else null."""
+    return F.when(done >= total, "end").when((done > 0) & (done % every == 0), "count").when(seconds >= most_seconds, "time")
+
+
 def manifest(quarters: DataFrame, prices: DataFrame, universe: DataFrame, fields: Sequence[str]) -> DataFrame:
     """One row: sizes, field coverage and the fields that nobody has."""
     size = universe.agg(F.count("*").alias("universe"))
@@ -50,9 +83,14 @@ def manifest(quarters: DataFrame, prices: DataFrame, universe: DataFrame, fields
     return row.withColumn("warnings", F.transform(absent, lambda f: F.concat(F.lit("no ticker has "), f)))
 
 
-def write_catalog_days(entries: DataFrame, path: str) -> None:
-    """Day files of the news catalog; days that are written again are replaced, others stay."""
-    entries.repartition("day", "ticker").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip").partitionBy("day", "ticker").json(path)
+def write_catalog_days(entries: DataFrame, path: str, by: Sequence[str] = ("day", "ticker")) -> None:
+    """Day files of the news catalog, in a folder per day and ticker or per day; days that are written again are replaced, others stay."""
+    entries.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip").partitionBy(*by).json(path)
+
+
+def write_catalog_meta(meta: DataFrame, path: str) -> None:
+    """The state of every captured day beside the entries, one JSON line each; days that are written again are replaced."""
+    meta.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").json(path)
 
 
 def write_universe_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -65,6 +103,12 @@ def remaining(wanted: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFr
     return wanted.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def resume_cursor(wanted: DataFrame, done: DataFrame, group: Sequence[str], item: str) -> DataFrame:
+    """Per group: how many items are done and the next one in order; null when none is left."""
+    marked = wanted.select(*group, item).join(done.select(*group, item).distinct().withColumn("_done", F.lit(True)), [*group, item], "left")
+    return marked.groupBy(*group).agg(F.count("_done").alias("done"), F.min(F.when(F.col("_done").isNull(), F.col(item))).alias("next"))
+
+
 def append_batch(df: DataFrame, path: str, batch: int) -> None:
     """A batch under its number; writing it again replaces it."""
     df.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,22 @@ class Tables:
     benchmark: DataFrame
 
 
+#: Which of a profile's tables come from the official sources; the others are public or, where there is no public one, empty.
+PROFILES = {
+    "official": {"prices", "quarters", "filings", "news", "macro", "benchmark"},
+    "official_enriched": {"prices", "quarters", "filings", "news", "macro", "benchmark"},
+    "ci_safe": set(),
+}
+
+
+def tables_of(profile: str, official: Tables, public: Tables, quarters: DataFrame | None = None) -> Tables:
+    """The bundle of a named profile. ``quarters`` (stored statements) replaces the profile's own."""
+    if profile not in PROFILES:
+        raise ValueError(f"unknown profile {profile}; known: {', '.join(PROFILES)}")
+    chosen = {f.name: getattr(official if f.name in PROFILES[profile] or f.name == "universe" else public, f.name) for f in fields(Tables)}
+    return Tables(**(chosen | ({"quarters": quarters} if quarters is not None else {})))
+
+
 @dataclass(frozen=True)
 class Config:
     bars: int = 300
