@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -82,6 +83,14 @@ def test_near_edges(spark, odd_docs, no_docs):
     assert by[2].n_shingles == 0 and by[2].kept and by[None].component_id is None and by[None].kept
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    x, y = ([f"{c}{i}" for i in range(60)] for c in "xy")
+    near = lambda w: " ".join([*w, "end"])
+    rows = [(5, " ".join(x)), (5, " ".join(y)), (8, near(x)), (9, near(y)), (9, "something else of its own here")]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in N.near_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == [(5, 56, 5, True), (5, 56, 5, True), (8, 57, 5, False), (9, 2, 9, True), (9, 57, 5, False)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(3, 400), st.integers(0, 100), st.integers(1, 10**6))
 def test_sketches_merge_and_estimate(n, extra, seed):
@@ -145,6 +154,22 @@ def test_caps_recall():
     assert all(np.intersect1d(a, b).size for a, b in zip(plan.decode(x), plan.decode(y), strict=True))
 
 
+def test_caps_of_one_id_are_vectors_of_their_own(spark):
+    rng = np.random.default_rng(2)
+    a, b = C._units(rng, 2, 16)
+    near = lambda v, k: [float(x) for x in v + 0.01 * np.eye(16)[k]]
+    rows = [(1, near(a, 0), 0), (1, near(b, 0), 0), (2, near(a, 1), 0), (3, near(b, 1), 0), (4, near(b, 2), 0)]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "vec_id bigint, embedding array<float>, label int, digest string, id string")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in C.cap_dedup(df).collect())
+    assert got == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (4, 2, 1)]
+
+
+def test_no_silent_plan(spark, monkeypatch):
+    monkeypatch.setattr(C, "TRIALS", 200)
+    with pytest.raises(ValueError, match="no code finds"):
+        C.plan_caps(10**9, 64, threshold=0.0)
+
+
 def test_caps_edges(spark):
     assert C.cap_dedup(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")).count() == 0
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import connected_components, keep, table
+from tidemark.llm.shared import connected_components, keep, table, with_least
 
 THRESHOLD = 0.93
 #: Wanted members of a filter and label, largest share of all vectors in a filter, members compared in one block.
@@ -67,7 +67,30 @@ def _code(rng: np.random.Generator, size: int, dim: int, alpha: float) -> Code:
     return Code(np.linalg.qr(rng.standard_normal((dim, dim)))[0], _units(rng, size, h), _units(rng, size, dim - h), alpha)
 
 
-def plan_caps(most_in_label: int, dim: int, threshold: float = THRESHOLD, seed: int = 7) -> Caps:
+@dataclass(frozen=True)
+class Plan:
+    """What the filters are made from: workers draw the codes from the seed, so that no code is sent to them."""
+
+    dim: int
+    size: int
+    codes: int
+    alpha: float
+    seed: int
+
+    def caps(self) -> Caps:
+        if self not in _CAPS:
+            rng = np.random.default_rng([self.seed, self.dim])
+            _CAPS[self] = Caps(tuple(_code(rng, self.size, self.dim, self.alpha) for _ in range(self.codes)))
+        return _CAPS[self]
+
+    def decode(self, x: np.ndarray) -> list[np.ndarray]:
+        return self.caps().decode(x)
+
+
+_CAPS: dict[Plan, Caps] = {}
+
+
+def plan_caps(most_in_label: int, dim: int, threshold: float = THRESHOLD, seed: int = 7) -> Plan:
     """Choose the caps' height from the number of vectors, then words in a code and codes from simulated pairs.
 
     Higher caps for more vectors keep filters near BUCKET members. Rotations make codes independent for any fixed
@@ -85,7 +108,7 @@ def plan_caps(most_in_label: int, dim: int, threshold: float = THRESHOLD, seed:
     z -= (z * x).sum(1, keepdims=True) * x
     z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
     y = threshold * x + np.sqrt(max(0.0, 1 - threshold**2)) * z
-    best, worse = (np.inf, 8, 1), 0
+    best, worse = (np.inf, 0, 0), 0
     for size in (4, 6, 8, 11, 16, 22, 32, 45, 64, 90, 128, 180, 256, 360, 512):
         code = _code(rng, size, dim, alpha)
         sides = [code.halves(v) for v in (x, y)]
@@ -104,7 +127,9 @@ def plan_caps(most_in_label: int, dim: int, threshold: float = THRESHOLD, seed:
             worse += 1
             if worse == 3:
                 break
-    return Caps(tuple(_code(rng, best[1], dim, alpha) for _ in range(best[2])))
+    if not best[2]:
+        raise ValueError(f"no code finds pairs at cosine {threshold} among {most_in_label} vectors of {dim} numbers")
+    return Plan(dim, best[1], best[2], alpha, seed)
 
 
 def vec_type(vectors: DataFrame) -> np.dtype:
@@ -195,7 +220,7 @@ def block_links(members: DataFrame, threshold: float, kind: np.dtype) -> DataFra
     return members.groupBy("filter", "label", "dim", "i", "j").applyInArrow(run, "id bigint, links bigint, root bigint")
 
 
-def filter_rows(classes: DataFrame, plans: dict[int, Caps], kind: np.dtype) -> DataFrame:
+def filter_rows(classes: DataFrame, plans: dict[int, Plan], kind: np.dtype) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "label", "dim", "cnt", "vec"]
         for batch in batches:
@@ -224,11 +249,14 @@ def cap_dedup(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Vectors of equal label and length link when their cosine in double precision is ``threshold`` or more. Equal
     vectors form a class; its copies are counted, not compared. Two vectors meet in each filter that both exceed; the
     number of filters is set so that a pair at the threshold is missed with a chance of 1e-5 (nearer pairs less still). Null, empty, zero and non-finite vectors, null labels and null vec_ids link with nothing; rows that
-    repeat a vec_id are vectors of their own under one id; an empty table gives no rows; other columns are ignored.
+    repeat a vec_id are vectors of their own under one id, each with its own links; an empty table gives no rows; other
+    columns are ignored.
     """
     rows = keep(prepare(vectors), "cap-vectors")
     good = rows.where("digest is not null and vec_id is not null")
-    classes = keep(good.groupBy("label", "dim", "digest").agg(F.min("vec_id").alias("id"), F.count("*").alias("cnt"), F.first("vec").alias("vec")), "cap-classes")
+    classes = good.groupBy("label", "dim", "digest").agg(F.min("vec_id").alias("least"), F.count("*").alias("cnt"), F.first("vec").alias("vec"))
+    # numbers of their own, as different vectors may share a vec_id
+    classes = keep(classes.withColumn("id", F.monotonically_increasing_id()), "cap-classes")
     # one number per vector length
     sizes = classes.groupBy("dim", "label").count().groupBy("dim").agg(F.max("count").alias("n")).collect()
     plans = {r["dim"]: plan_caps(r["n"], r["dim"], threshold) for r in sizes}
@@ -242,8 +270,8 @@ def cap_dedup(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = keep(block_links(blocks, threshold, vec_type(vectors)), "cap-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     comps = connected_components(found.select(F.col("root").alias("a"), F.col("id").alias("b")), "cap-components")
-    named = classes.select("label", "dim", "digest", F.col("id"), "cnt").join(links, "id", "left").join(comps, "id", "left")
-    named = named.select("label", "dim", "digest", (F.coalesce("links", F.lit(0)) + F.col("cnt") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+    named = classes.select("label", "dim", "digest", "id", "least", "cnt").join(links, "id", "left").join(with_least(comps, classes), "id", "left")
+    named = named.select("label", "dim", "digest", (F.coalesce("links", F.lit(0)) + F.col("cnt") - 1).alias("n_links"), F.coalesce("component", "least").alias("component"))
     out = rows.drop("vec").join(named, ["label", "dim", "digest"], "left")
     own = F.col("vec_id").isNotNull()
     component = F.when(own, F.coalesce("component", "vec_id"))

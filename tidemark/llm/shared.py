@@ -101,3 +101,10 @@ def connected_components(edges: DataFrame, what: str = "components", most_rounds
         raise RuntimeError("components did not settle")
     roots = cur.select(F.col("y").alias("id"), F.col("y").alias("component")).distinct()
     return cur.select(F.col("x").alias("id"), F.col("y").alias("component")).union(roots)
+
+
+def with_least(components: DataFrame, members: DataFrame) -> DataFrame:
+    """``components`` of numbered members (id, least) named by the smallest ``least`` among a component's members."""
+    own = components.withColumnRenamed("component", "root")
+    names = own.join(members.select("id", "least"), "id").groupBy("root").agg(F.min("least").alias("component"))
+    return own.join(names, "root").select("id", "component")
