@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import connected_components, keep, small_or_plain, table
+from tidemark.llm.shared import connected_components, keep, small_or_plain, table, with_least
 
 WORDS, SIMILARITY = 5, 0.75
 #: Registers, their base and largest value; registers in a band; estimates below CUT are no candidates.
@@ -76,7 +76,7 @@ def likely(more: np.ndarray, less: np.ndarray, same: np.ndarray, n1: np.ndarray,
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """One row per document: size of its shingle set, a 128-bit digest of the set, and its registers."""
+    """One row per document: a hash of its text, the size of its shingle set, a 128-bit digest of the set, and its registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,9 +88,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                     sizes.append(len(s))
                     digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                     regs.append(sketch(s).tobytes() if len(s) else None)
-                yield pa.record_batch([part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(regs, pa.binary())], ["doc_id", "n", "digest", "regs"])
+                yield pa.record_batch([part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(regs, pa.binary())], ["doc_id", "text_key", "n", "digest", "regs"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary")).mapInArrow(run, "doc_id bigint, n bigint, digest binary, regs binary")
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"), text_key().alias("text_key")).mapInArrow(run, "doc_id bigint, text_key bigint, n bigint, digest binary, regs binary")
+
+
+def text_key():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -100,7 +104,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 part = batch.slice(lo, 1000)
                 yield pa.record_batch([part.column(0), pa.array([shingle_set(t).tobytes() for t in part.column(1).to_pylist()], pa.binary())], ["id", "items"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary")).mapInArrow(run, "id bigint, items binary")
+    return docs.select("id", F.col("text").cast("binary")).mapInArrow(run, "id bigint, items binary")
 
 
 def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -121,7 +125,7 @@ def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return full.mapInArrow(run, "a bigint, b bigint")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (a, b) with their sets' sizes of intersection and union checked in full."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,13 +139,17 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                     ok.append(100 * both >= round(100 * SIMILARITY) * (len(x) + len(y) - both))
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
 
-    sets = keep(sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), docs), "near-sets")
+    sets = keep(sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), reps, docs), "near-sets")
     left, right = (sets.select(F.col("id").alias(k), F.col("items").alias(f"{k}_items")) for k in ("a", "b"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "a_items", "b_items").mapInArrow(run, "a bigint, b bigint, ok boolean")
 
 
-def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    return shingle_sets(docs.join(small_or_plain(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+def sets_of(ids: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """Shingle sets of some representatives, each from one text of its class, which id and text hash name."""
+    wanted = keep(ids.join(reps.select("id", "rep"), "id").select("id", F.col("rep.doc_id").alias("_tm_doc"), F.col("rep.text_key").alias("_tm_key")), "near-wanted")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"), "text")
+    found = texts.join(small_or_plain(wanted), (F.col("doc_id") == F.col("_tm_doc")) & (F.col("text_key") == F.col("_tm_key")))
+    return shingle_sets(found.dropDuplicates(["id"]))
 
 
 def block_links(members: DataFrame) -> DataFrame:
@@ -191,7 +199,7 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     buckets = keep(bands.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1"), "near-buckets")
     rows = keep(bands.join(buckets, "key"), "near-rows")
     stars = rows.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    first = keep(confirmed(keep(estimated(stars, reps), "near-pairs"), docs), "near-first")
+    first = keep(confirmed(keep(estimated(stars, reps), "near-pairs"), reps, docs), "near-first")
     links = first.where("ok").select("a", "b")
     comps = connected_components(links, "near-components")
 
@@ -205,35 +213,37 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     clusters = keep(clusters, "near-clustered")
     g = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size")).select("cluster", g.alias("g"))
-    members = clusters.join(sizes, "cluster").join(left.select("id", "comp").distinct(), "id").join(reps.select("id", "n", "regs"), "id").join(sets_of(clusters.select(F.col("id").alias("doc_id")), docs), "id")
+    members = clusters.join(sizes, "cluster").join(left.select("id", "comp").distinct(), "id").join(reps.select("id", "n", "regs"), "id").join(sets_of(clusters.select("id"), reps, docs), "id")
     members = members.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("g").cast("bigint")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     blocks = members.select("cluster", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), "chunk", "id", "comp", "n", "regs", "items")
     return links.union(keep(block_links(blocks), "near-second"))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``.
+    """doc_id, n_shingles, component_id, kept and text_key (xxhash64 of the text) for every row of ``docs``.
 
-    Documents with equal shingle sets form a class and only its smallest doc_id takes part in the search. Links are
+    Documents with equal shingle sets form a class, of which one text takes part in the search. Links are
     pairs with 100 * intersection >= 75 * union; each is confirmed on full sets of 64-bit shingle hashes. Texts that
-    are null or without words have no shingles and no links. Rows with a null doc_id are linked with nothing and
-    kept; rows that repeat a doc_id get its class alike; an empty table gives no rows; other columns are ignored.
+    are null or without words have no shingles and no links; very long texts are taken whole. Rows with a null doc_id are
+    linked with nothing and kept; rows that repeat a doc_id with other texts are documents of their own under one id; ties
+    do not arise, as a component's name is its smallest doc_id; an empty table gives no rows; other columns are ignored.
     """
     all_rows = keep(sketches(docs), "near-sketches")
     good = all_rows.where("n > 0 and doc_id is not null")
-    classes = keep(good.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("regs").alias("regs")), "near-classes")
-    reps = classes.select(F.col("rep").alias("id"), "n", "regs")
+    classes = good.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.max("n").alias("n"), F.first("regs").alias("regs"))
+    # numbers of their own, as different sets may share a doc_id
+    classes = keep(classes.withColumn("id", F.monotonically_increasing_id()).withColumn("least", F.col("rep.doc_id")), "near-classes")
     # different sets of which one has two items or less reach 2/3 at most
-    reps = keep(reps.where("n > 2").dropDuplicates(["id"]), "near-reps")
-    comps = connected_components(near_links(reps, docs), "near-components")
-    named = classes.select("digest", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
+    reps = classes.where("n > 2").select("id", "rep", "n", "regs")
+    comps = with_least(connected_components(near_links(reps, docs), "near-components"), classes)
+    named = classes.select("digest", "id", "least").join(comps, "id", "left").select("digest", F.coalesce("component", "least").alias("component"))
     out = all_rows.join(named, "digest", "left")
     component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "text_key")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"))
+    return near_dedup(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 QUERIES = {"op6_near_dedup": query}
