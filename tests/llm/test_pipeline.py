@@ -5,9 +5,9 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.conftest import SMALL
 from tests.llm.test_near import brute_near
-from tests.llm.test_rules_and_lines import base, brute_lines
+from tests.llm.test_rules_and_lines import base, brute_words
 from tidemark.llm import mixing
-from tidemark.llm.line_dedup import MIN_WORDS
+from tidemark.llm.passage_dedup import MIN_WORDS
 from tidemark.llm.quality_rules import THRESHOLD
 from tidemark.llm.quality_rules import query as rules_query
 
@@ -24,8 +24,10 @@ def test_stages_against_brute_force(spark, duck):
     llr = {r.doc_id: r.llr for r in rules_query(spark, SMALL).collect()}
     kept = {d: t for d, t in texts.items() if (b := base(t))[0] >= 10 and 100 * b[4] <= 20 * b[0] and llr[d] >= THRESHOLD}
     assert {r.doc_id for r in outs["quality_rules"].collect()} == set(kept)
-    cut = {d: t for d, t in brute_lines(sorted(kept.items()), MIN_WORDS).items() if t == kept[d] or t.strip()}
-    assert {r.doc_id: r.text for r in outs["line_dedup"].collect()} == cut
+    left = brute_words(sorted(kept.items()), MIN_WORDS)
+    cut = {r.doc_id: r.text for r in outs["line_dedup"].collect()}
+    assert {d: t.encode().split() for d, t in cut.items()} == {d: w for d, w in left.items() if len(w) >= 10}
+    assert all(cut[d] == kept[d] for d, w in left.items() if w == kept[d].encode().split())
     _, comp = brute_near(sorted(cut.items()))
     one = {d: t for d, t in cut.items() if comp[d] == d}
     assert {r.doc_id for r in outs["near_dedup"].collect()} == set(one)
@@ -42,3 +44,23 @@ def test_stages_against_brute_force(spark, duck):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
+
+
+def test_rows_of_one_id(spark):
+    """Another text under the id of a dropped copy stays."""
+    x, y, u = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyu")
+    rows = [(1, x), (8, x), (8, u), (9, x + " end"), (None, x), (3, None), (4, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, SMALL).collect()), key=str)
+    assert got == sorted([(1, x), (8, u), (None, x), (3, None), (4, "")], key=str)
+
+
+def test_odd_input(spark, odd_docs, no_docs):
+    """Every stage takes nulls, empty texts, repeated rows and an empty table."""
+    for docs in (odd_docs, no_docs):
+        docs = docs.select(corpus_pipeline.COLUMNS)
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SMALL)
+            n = out.count()
+            assert n <= docs.count() or name == "packing"
+            assert n > 0 or docs.count() == 0 or name == "quality_rules"
