@@ -96,3 +96,9 @@ def price_window(prices: DataFrame, as_of: Column, bars: int, days_per_bar: floa
 def first_fresh(sources: Sequence[tuple[DataFrame, int | None]], keys: Sequence[str], date: str, as_of: Column) -> DataFrame:
     """Ordered snapshot sources with a staleness bound each: a key's newest snapshot from the first source that is fresh enough."""
     return first_source([newest_snapshot(df, keys, date, as_of, age) for df, age in sources], keys)
+
+
+def stale_fallback(fresh: DataFrame, cache: DataFrame, keys: Sequence[str], date: str, as_of: Column) -> DataFrame:
+    """Fresh rows, and for keys without any the newest cached ones on or before ``as_of``, however old; adds ``is_stale``."""
+    kept = newest_snapshot(cache, keys, date, as_of, None)
+    return first_source([fresh, kept], keys).withColumn("is_stale", F.col("source_rank") == 1).drop("source_rank")

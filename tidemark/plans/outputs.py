@@ -13,6 +13,7 @@ from tidemark.sources import adapters as A
 from tidemark.sources import readers
 from tidemark.sources.adapters import with_tables
 from tidemark.storage import scratch_path
+from tidemark.streaming import catalog as streams
 
 _FIELDS = ["revenue", "total_assets", "current_assets", "issued_shares"]
 
@@ -158,6 +159,33 @@ def dq_gate(spark: SparkSession, sf: str) -> DataFrame:
     return spark.range(1).select(F.lit(quality.passes(checks)).alias("with_failures"), F.lit(quality.passes(fine)).alias("degraded_only"))
 
 
+def stale_cache(spark: SparkSession, sf: str) -> DataFrame:
+    """Last caps per ticker where the source answered, else what an earlier run had cached."""
+    caps = A.market_caps(spark, sf).select("ticker", "trade_date", "market_cap")
+    fresh = asof.newest_snapshot(caps.where("ticker % 3 <> 0"), ["ticker"], "trade_date", day(), 31)
+    return asof.stale_fallback(fresh, caps.where("trade_date < date'1999-06-01'"), ["ticker"], "trade_date", day())
+
+
+def stream_window_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per type and hour, counted as a stream over several files."""
+    source = scratch_path(spark, "stream-source")
+    events = A.table(spark, sf, "events").select("ts", "event_type")
+    events.repartition(4, "event_type").write.parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    counts = streams.drained(streams.windowed_counts(stream), scratch_path(spark, "stream-counts"), scratch_path(spark, "stream-state"))
+    return counts.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+
+
+def stream_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """News of two crawls merged into the catalog as a stream: what came first stays."""
+    source, out = scratch_path(spark, "crawl-source"), scratch_path(spark, "crawl-catalog")
+    rows = A.news(spark, sf).withColumn("crawl_date", F.col("date"))
+    rows.coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    streams.ingest(stream, out, scratch_path(spark, "crawl-state")).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{out}/v0").groupBy("ticker").agg(F.count("*").alias("n"), F.sum("seq").alias("seqs"))
+
+
 def output_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of a written dataset."""
     path = scratch_path(spark, "rows")
@@ -168,7 +196,8 @@ def output_rows(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        snapshot_round_trip, bundle_manifest, caps_by_partition, index_frames, stamped_rows, batch_state, run_cursor, checkpoint_triggers, response_cache, dq_filing, dq_news_coverage, dq_snapshot, dq_outputs, dq_us_outputs, dq_gate, output_rows,
+        snapshot_round_trip, bundle_manifest, caps_by_partition, index_frames, stamped_rows, batch_state, run_cursor, checkpoint_triggers, response_cache, dq_filing, dq_news_coverage, dq_snapshot, dq_outputs, dq_us_outputs, dq_gate, stale_cache,
+        stream_window_counts, stream_catalog, output_rows,
     )
 }
 
@@ -194,6 +223,9 @@ SQL = {
     "dq_outputs": _OUT,
     "dq_us_outputs": _OUT + " UNION ALL SELECT 'outputs', 'summary', 'failed', 'status'",
     "dq_gate": "SELECT false AS with_failures, true AS degraded_only",
+    "stale_cache": with_tables("cap", f", f AS (SELECT ticker, max(trade_date) AS trade_date, arg_max(market_cap, trade_date) AS market_cap FROM cap WHERE trade_date <= DATE '{AS_OF}' GROUP BY 1), o AS (SELECT ticker, max(trade_date) AS trade_date, arg_max(market_cap, trade_date) AS market_cap FROM cap WHERE trade_date < DATE '1999-06-01' GROUP BY 1), g AS (SELECT * FROM f WHERE ticker % 3 <> 0 AND DATE '{AS_OF}' - trade_date <= 31) SELECT *, false AS is_stale FROM g UNION ALL SELECT *, true FROM o WHERE ticker NOT IN (SELECT ticker FROM g)"),
+    "stream_window_counts": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    "stream_catalog": "WITH k AS (SELECT user_id AS ticker, min(event_id) AS seq FROM events GROUP BY user_id, ts::DATE, props) SELECT ticker, count(*) AS n, sum(seq)::BIGINT AS seqs FROM k GROUP BY 1",
     "output_rows": with_tables("uni", " SELECT count(*) AS rows FROM uni"),
 }
 

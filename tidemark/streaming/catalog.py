@@ -38,3 +38,15 @@ def windowed_counts(events: DataFrame, minutes: int = 60, late: str = "2 hours")
     """Events per type and tumbling window; ``ts`` becomes a zoned timestamp, which watermarks need."""
     zoned = events.withColumn("ts", F.col("ts").cast("timestamp"))
     return zoned.withWatermark("ts", late).groupBy(F.window("ts", f"{minutes} minutes").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), "event_type", "n")
+
+
+def drained(counts: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run an aggregation over all that its source has and return the last complete result."""
+    spark, done = counts.sparkSession, []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/v{number}")
+        done.append(number)
+
+    counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(counts.schema).parquet(f"{path}/v{max(done)}") if done else spark.createDataFrame([], counts.schema)
