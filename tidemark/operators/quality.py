@@ -104,6 +104,13 @@ def check_outputs(spark: SparkSession, paths: dict[str, str], status: str | None
     return check_rows(found, "outputs", F.col("name"), [(F.col("problem") == p, p) for p in ("missing", "empty", "status")])
 
 
+def preflight(universe: DataFrame, quarters: DataFrame, caps: DataFrame, need: Sequence[str]) -> DataFrame:
+    """Per ticker, with one quarter and one cap each: failed without a quarter, degraded with the names of missing fields."""
+    rows = universe.select("ticker").join(quarters, "ticker", "left").join(caps, "ticker", "left")
+    gone = F.array_join(F.filter(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in need)), lambda x: x.isNotNull()), ",")
+    return rows.select("ticker", F.when(F.col("fiscal_quarter").isNull(), "failed").when(gone != "", "degraded").otherwise("ok").alias("status"), gone.alias("missing"))
+
+
 def summarize(checks: DataFrame) -> DataFrame:
     return checks.groupBy("check").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "failed").alias("failed"), F.count_if(F.col("status") == "degraded").alias("degraded"))
 

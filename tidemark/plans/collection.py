@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark import sinks
 from tidemark.functions import text as T
 from tidemark.functions.dates import last_business_day, months_between_inclusive
 from tidemark.functions.numbers import coverage_floor, round_half_up
@@ -83,7 +84,7 @@ def map_merge_last_wins(spark: SparkSession, sf: str) -> DataFrame:
     u = A.universe(spark, sf)
     old = u.select("market", "ticker", F.col("market_cap").alias("v"), F.lit(0).alias("batch"))
     new = u.where("ticker % 3 = 0").select("market", "ticker", (F.col("market_cap") + 1).alias("v"), F.lit(1).alias("batch"))
-    merged = old.union(new).groupBy("market", "ticker").agg(F.max_by("v", "batch").alias("v"))
+    merged = sinks.merge_batches(old.union(new), ["market", "ticker"])
     return merged.groupBy("market").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ticker", "v"))), lambda x: F.concat_ws("=", x["ticker"].cast("string"), F.format_number(x["v"], 2))), ";").alias("state"))
 
 
@@ -101,9 +102,7 @@ def preflight(spark: SparkSession, sf: str) -> DataFrame:
     q = asof.latest_n(A.statements(spark, sf).where(F.col("report_date") <= day()), ["ticker"], [F.desc("report_date")], 1)
     caps = A.market_caps(spark, sf).where((F.col("trade_date") <= day()) & (F.col("ticker") % 4 != 0)).groupBy("ticker").agg(F.max_by("market_cap", "trade_date").alias("market_cap"))
     need = ["revenue", "total_assets", "current_assets", "current_liabilities", "market_cap"]
-    rows = A.universe(spark, sf).select("ticker").join(q, "ticker", "left").join(caps, "ticker", "left")
-    gone = F.array_join(F.filter(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in need)), lambda x: x.isNotNull()), ",")
-    return rows.select("ticker", F.when(F.col("fiscal_quarter").isNull(), "failed").when(gone != "", "degraded").otherwise("ok").alias("status"), gone.alias("missing"))
+    return quality.preflight(A.universe(spark, sf), q, caps, need)
 
 
 def coverage_gate(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,6 +10,7 @@ from tidemark.functions.numbers import round_half_up
 from tidemark.operators import asof, macro, sectors, universe
 from tidemark.operators.fundamentals import implied_shares
 from tidemark.sources import adapters as A
+from tidemark.sources import readers
 from tidemark.sources.adapters import with_tables
 
 AS_OF = "1999-12-31"
@@ -63,15 +64,13 @@ def cap_asof_multi_month(spark: SparkSession, sf: str) -> DataFrame:
 
 def cap_dedupe_last(spark: SparkSession, sf: str) -> DataFrame:
     """One cap per ticker: the last by trade date."""
-    return A.market_caps(spark, sf).groupBy("ticker").agg(F.max_by("market_cap", "trade_date").alias("market_cap"), F.max("trade_date").alias("trade_date"))
+    return asof.keep_first(A.market_caps(spark, sf), ["ticker"], [F.desc("trade_date")]).select("ticker", "market_cap", "trade_date")
 
 
 def month_label_to_month_end(spark: SparkSession, sf: str) -> DataFrame:
     """Month labels joined to the market's last trading day of that month."""
-    p = A.prices(spark, sf)
-    ends = p.groupBy(F.trunc("date", "MM").alias("month")).agg(F.max("date").alias("source_trade_date"))
-    caps = A.market_caps(spark, sf).select("ticker", "month", "market_cap")
-    return caps.join(ends, "month").select("ticker", "month", "source_trade_date", "market_cap")
+    ends = asof.last_of_month(A.prices(spark, sf), [], "date").select("date")
+    return readers.relabel_months(A.market_caps(spark, sf).select("ticker", "month", "market_cap"), ends, "month")
 
 
 def implied_share_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -140,8 +140,8 @@ def html_to_text(spark: SparkSession, sf: str) -> DataFrame:
 def filing_text_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Texts longer than both gates, cut to the section limit."""
     d = A.table(spark, sf, "documents")
-    body = F.left(F.col("text"), F.lit(T.MOST_CHARS))
-    return d.select("doc_id", F.length(body).alias("n"), (F.length(body) > T.US_LEAST).alias("us_ok"), (F.length(body) > T.KR_LEAST).alias("kr_ok")).where("kr_ok")
+    us, kr = T.gated(F.col("text"), T.US_LEAST), T.gated(F.col("text"), T.KR_LEAST)
+    return d.select("doc_id", F.length(kr).alias("n"), us.isNotNull().alias("us_ok"), kr.isNotNull().alias("kr_ok")).where("kr_ok")
 
 
 def filing_sections(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import last_business_day
-from tidemark.functions.hashing import counts_json, md5_seed, short_sha256
+from tidemark.functions.hashing import md5_seed
 from tidemark.functions.numbers import round_half_up
 from tidemark.operators import asof, fundamentals, quality, sectors
 from tidemark.plans.market import AS_OF, day, last_close_asof
+from tidemark.snapshot import content_hash
 from tidemark.sources import adapters as A
 from tidemark.sources.adapters import with_tables
 
@@ -105,15 +106,11 @@ def snapshot_monthly(spark: SparkSession, sf: str) -> DataFrame:
 
 def snapshot_hashes(spark: SparkSession, sf: str) -> DataFrame:
     """Content hashes of counts: bars and quarters per ticker, key-sorted JSON, first 16 hex digits of SHA-256."""
-    p = A.prices(spark, sf).where(F.col("date") <= day()).groupBy("ticker").agg(F.least(F.count("*"), F.lit(300)).alias("n"))
-    q = A.statements(spark, sf).where(F.col("report_date") <= day()).groupBy("ticker").agg(F.least(F.count("*"), F.lit(8)).alias("n"))
+    p = asof.latest_n(asof.as_of_cut(A.prices(spark, sf).select("ticker", "date"), day()), ["ticker"], [F.desc("date")], 300)
+    q = asof.latest_n(asof.as_of_cut(A.statements(spark, sf).select("ticker", "report_date"), day(), "report_date"), ["ticker"], [F.desc("report_date")], 8)
     u = A.universe(spark, sf).select("ticker", "sector")
-
-    def per_sector(counts: DataFrame, name: str) -> DataFrame:
-        rows = u.join(counts, "ticker").select("sector", F.struct(F.lpad(F.col("ticker").cast("string"), 6, "0").alias("key"), F.col("n").alias("value")).alias("kv"))
-        return rows.groupBy("sector").agg(short_sha256(counts_json(F.collect_list("kv"))).alias(name))
-
-    return per_sector(p, "prices_hash").join(per_sector(q, "fundamentals_hash"), "sector", "full_outer")
+    named = lambda df: u.join(df, "ticker").withColumn("ticker", F.lpad(F.col("ticker").cast("string"), 6, "0"))
+    return content_hash(named(p), "prices_hash", ["sector"]).join(content_hash(named(q), "fundamentals_hash", ["sector"]), "sector", "full_outer")
 
 
 def ticker_seeds(spark: SparkSession, sf: str) -> DataFrame:

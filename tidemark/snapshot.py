@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame
@@ -75,14 +76,16 @@ def nested(parts: dict[str, DataFrame], universe: DataFrame) -> DataFrame:
     return out
 
 
-def content_hashes(parts: dict[str, DataFrame]) -> DataFrame:
-    """One row of hashes of counts per ticker, keys sorted."""
+def content_hash(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Short hash of the rows per ticker as JSON with sorted keys, one for each group of ``by``: a universe's worth of counts."""
+    counts = df.groupBy(*by, "ticker").agg(F.count("*").alias("n"))
+    kv = F.struct(F.col("ticker").cast("string").alias("key"), F.col("n").alias("value"))
+    return counts.groupBy(*by).agg(short_sha256(counts_json(F.collect_list(kv))).alias(name))
 
-    def one(df: DataFrame, name: str) -> DataFrame:
-        kv = df.groupBy("ticker").agg(F.count("*").alias("n")).select(F.struct(F.col("ticker").cast("string").alias("key"), F.col("n").alias("value")).alias("kv"))
-        return kv.agg(short_sha256(counts_json(F.collect_list("kv"))).alias(name))  # a universe's worth of counts
 
-    out = one(parts["prices"], "prices_hash")
+def content_hashes(parts: dict[str, DataFrame]) -> DataFrame:
+    """One row of hashes of a snapshot's counts."""
+    out = content_hash(parts["prices"], "prices_hash")
     for k in ("quarters", "filings", "news"):
-        out = out.crossJoin(one(parts[k], f"{k}_hash"))  # single rows
+        out = out.crossJoin(content_hash(parts[k], f"{k}_hash"))  # single rows
     return out
