@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import parse_yyyymmdd
+
 
 def as_of_cut(df: DataFrame, as_of: Column, available: str = "date", lag_days: int = 0) -> DataFrame:
     """Rows known on ``as_of``. The comparison stays on the bare column where there is no lag, so scans can use it."""
@@ -102,3 +104,8 @@ def stale_fallback(fresh: DataFrame, cache: DataFrame, keys: Sequence[str], date
     """Fresh rows, and for keys without any the newest cached ones on or before ``as_of``, however old; adds ``is_stale``."""
     kept = newest_snapshot(cache, keys, date, as_of, None)
     return first_source([fresh, kept], keys).withColumn("is_stale", F.col("source_rank") == 1).drop("source_rank")
+
+
+def compact_date_cut(df: DataFrame, as_of: Column, available: str) -> DataFrame:
+    """Rows whose YYYYMMDD text is a date on or before ``as_of``. Missing and malformed dates are known never, rather than always."""
+    return df.withColumn("_known", parse_yyyymmdd(F.col(available))).where(F.col("_known") <= as_of).drop("_known")

@@ -307,6 +307,13 @@ def compact_dates(spark: SparkSession, sf: str) -> DataFrame:
     return o.select("o_orderkey", parse_yyyymmdd(raw).alias("d"))
 
 
+def receipt_date_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports received on or before the date; those without a receipt date, or with none that exists, are not."""
+    r = A.report_list(spark, sf)
+    odd = F.when(F.col("rcept_no") % 7 == 0, None).when(F.col("rcept_no") % 7 == 1, "19990231").when(F.col("rcept_no") % 7 == 2, "").otherwise(F.col("rcept_dt"))
+    return asof.compact_date_cut(r.withColumn("rcept_dt", odd), day(), "rcept_dt").select("corp", "rcept_no", "rcept_dt")
+
+
 def month_end_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Trading days on which a monthly build is due."""
     days = A.prices(spark, sf).select("date").distinct()
@@ -345,7 +352,7 @@ QUERIES = {
         us_price_scan, kr_price_scan, price_history_slices, index_fallback, market_listing, universe_order, all_listed_tickers, index_members, market_cap_route, monthly_cap_file, valuation_snapshot, sector_snapshot,
         live_sector_map, universe_csv_round_trip, statement_choice, three_statements, corp_codes, annual_filing_index, cik_lookup, series_scan, paged_source, news_list_items, archive_rows, archive_crawl, us_news_items,
         filing_stub, backfilled_statements, catalog_round_trip, catalog_meta_round_trip, daily_cap_json, cap_month_relabel, monthly_valuation_json, bulk_extracts, null_sources, saved_snapshots, filing_chain, html_to_text_us,
-        json_bodies, compact_dates, month_end_gate, charset_sniff, templates, login_pages, synthetic_prices,
+        json_bodies, compact_dates, receipt_date_cut, month_end_gate, charset_sniff, templates, login_pages, synthetic_prices,
     )
 }
 
@@ -410,6 +417,7 @@ SQL = {
  u AS (SELECT *, CASE WHEN filing_date IS NOT NULL THEN 'u/' || (k + 1) || '/001/a.htm' END AS url FROM f) SELECT ticker, cik, filing_date, url, CASE WHEN url IS NOT NULL AND k % 3 <> 0 AND (40 + k * 5) * 5 - 1 > 300 THEN (40 + k * 5) * 5 - 1 END::INT AS business_chars, NULL::INT AS risk_chars FROM u""",
     "json_bodies": "SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN json_extract_string(props, '$.k')::INT END AS k FROM events",
     "compact_dates": "SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 1 THEN o_orderdate::DATE END AS d FROM orders",
+    "receipt_date_cut": with_tables("rl", f" SELECT corp, rcept_no, rcept_dt FROM rl WHERE rcept_no % 7 > 2 AND rcept_dt <= '{AS_OF.replace('-', '')}'"),
     "month_end_gate": with_tables("px", " SELECT DISTINCT date FROM px WHERE date = (last_day(date) - greatest(isodow(last_day(date)) - 5, 0)::INT)::DATE"),
     "charset_sniff": "SELECT doc_id, text FROM documents",
     "templates": "SELECT event_id, user_id || ' did ' || event_type || ': ' || event_type AS line FROM events",
