@@ -11,7 +11,7 @@ from tidemark.llm.shared import keep, let, small_or_plain, table
 
 #: Exponents of the default targets: every document's weight is multiplied by its name's present share to the power
 #: (exponent - 1), for each marginal, and the marginals of that mix are the targets. Below 1 small names gain.
-TEMPERATURE = {"source": 0.8, "lang": 0.9, "topic": 0.9}
+TEMPERATURE = {"source": 0.85, "lang": 0.95, "topic": 0.95}
 #: Largest relative error of a marginal, rounds between two looks at it, rounds after which the fitting fails.
 TOLERANCE, ROUNDS, MOST_ROUNDS = 1e-12, 250, 20_000
 #: Families of terms. A document's topic is the family that is strongest in it against the whole corpus.
