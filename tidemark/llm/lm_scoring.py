@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import keep, small_or_plain, table
+from tidemark.llm.shared import give_back, keep, small_or_plain, table
 
 #: Keys of a text's start and end and of the unknown word (of a vocabulary that was asked to be small).
 START, END, UNKNOWN = (xxhash.xxh3_64_intdigest(x, 4) for x in (b"start", b"end", b"unknown"))
@@ -80,13 +79,6 @@ class Tally:
         return self.parts[0]
 
 
-def _give_back() -> None:
-    """Buffers of this task go back to the system: workers live on, and the C heap would keep freed arrays."""
-    pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-        trim(0)
-
-
 def word_counts(docs: DataFrame) -> DataFrame:
     """Occurrences of every word, and START once a text with words, in the corpus and in the target, summed within tasks and then over them."""
 
@@ -102,7 +94,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         names, n, good = tally.total()
         for lo in range(0, len(names), 200_000):
             yield pa.record_batch([pa.array(x[lo : lo + 200_000].view(np.int64)) for x in (names.astype(np.uint64), n, good)], ["word", "n", "n_target"])
-        _give_back()
+        give_back()
 
     counts = docs.select("doc_id", F.col("text").cast("binary"), "is_target").mapInArrow(run, "word bigint, n bigint, n_target bigint")
     return counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
@@ -188,7 +180,7 @@ def key_counts(parts: DataFrame, ranges: int, known: np.ndarray | None) -> DataF
                     rows += [(part, kind, r, pack_keys(names[lo:hi]), pack_counts(n[lo:hi]), pack_counts(good[lo:hi])) for r, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if hi > lo]
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 6, kinds, strict=True)], ["part", "kind", "range", "keys", "n", "n_target"])
-        _give_back()
+        give_back()
 
     return parts.select("part", "docs").mapInArrow(run, "part bigint, kind int, range bigint, keys binary, n binary, n_target binary")
 
@@ -207,7 +199,7 @@ def totals(counts: DataFrame) -> DataFrame:
         if kind == 0:
             stats = [int((~np.isin(names, np.array([START, END], np.uint64))).sum()), *(int(x.sum()) for x in sums)]
             parts, back = [*parts, -1], [[*x, None] for x in back]
-        _give_back()
+        give_back()
         cols = [pa.array(parts, pa.int64()), pa.array([kind] * len(parts), pa.int32()), pa.array([key[1].as_py()] * len(parts), pa.int64()), *(pa.array(x, pa.binary()) for x in back)]
         return pa.table([*cols, *(pa.array([0] * (len(parts) - 1) + [x], pa.int64()) for x in stats)], ["part", "kind", "range", "n", "n_target", "words", "total", "total_target"])
 
@@ -263,7 +255,7 @@ def lm_scores(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = N
                 cols = [pa.array(x, mask=~some) for x in (*means, means[0] - means[1])]
                 del flat, first, at_word, at_pair, context, word, unigrams, bigrams, loss
                 yield pa.record_batch([docs_.column("doc_id").combine_chunks(), pa.array(np.maximum(sizes - 2, 0)), *cols], ["doc_id", "n_tokens", "ce_target", "ce_background", "score"])
-        _give_back()
+        give_back()
 
     return parts.join(of_part, "part", "left").select("docs", "back").mapInArrow(run, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double")
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import BLANKS, keep, small_or_plain
+from tidemark.llm.shared import BLANKS, give_back, keep, small_or_plain
 
 #: A run of words counts as a passage from this many on.
 MIN_WORDS = 50
@@ -92,6 +92,7 @@ def marks_of(docs: DataFrame, min_words: int) -> DataFrame:
                 again.append(np.intersect1d(names, twice).view(np.int64))
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.record_batch([pa.array(c, k) for c, k in zip((docs_, keys, sizes, prints, again), kinds, strict=True)], ["doc_id", "text_key", "n_words", "prints", "again"])
+        give_back()
 
     return docs.select("doc_id", "text_key", F.col("text").cast("binary")).mapInArrow(run, "doc_id bigint, text_key bigint, n_words int, prints array<bigint>, again array<bigint>")
 
@@ -127,6 +128,7 @@ def windows(docs: DataFrame, min_words: int) -> DataFrame:
                 for lo in range(0, len(at), 100_000):
                     cut = slice(lo, lo + 100_000)
                     yield pa.record_batch([pa.array(place[cut]), pa.array(a[cut].view(np.int64)), pa.array(b[cut].view(np.int64))], ["place", "a", "b"])
+        give_back()
 
     return docs.select("rank", F.col("text").cast("binary"), "shared").mapInArrow(run, "place bigint, a bigint, b bigint")
 
@@ -205,7 +207,10 @@ def without_spans(text: Column, spans: Column) -> Column:
     @F.arrow_udf("string")
     def run(texts: pa.Array, spans_: pa.Array) -> pa.Array:
         pairs = zip(texts.to_pylist(), spans_.to_pylist(), strict=True)
-        return pa.array([cut(t, [(x["first"], x["last"]) for x in own]).decode() if t is not None and own else None for t, own in pairs], pa.string())
+        left = pa.array([cut(t, [(x["first"], x["last"]) for x in own]).decode() if t is not None and own else None for t, own in pairs], pa.string())
+        del pairs
+        give_back()
+        return left
 
     return run(F.when(spans.isNotNull(), text.cast("binary")), spans)
 

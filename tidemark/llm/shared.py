@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -61,6 +62,15 @@ def small_or_plain(df: DataFrame, most_rows: int = BROADCAST_ROWS, most_bytes: i
     return F.broadcast(df) if n <= most_rows and size <= most_bytes else df
 
 
+def give_back() -> None:
+    """Buffers of a Python task go back to the system: workers live on, and their heaps would keep what is freed."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it several times inside higher-order functions."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -76,7 +86,7 @@ def connected_components(edges: DataFrame, what: str = "components", most_rounds
     """Smallest reachable id for every id in ``edges(a, b)``: returns (id, component).
 
     Alternates large-star and small-star steps; each round is written to the shared folder. Hubs are safe: minima
-    are partial aggregates and the joins have one row per id on one side.
+    are partial aggregates, and they are written too, so that Spark can split the joins at an id with very many edges.
     """
     a, b = F.col("a"), F.col("b")
     edges = edges.where(a.isNotNull() & b.isNotNull() & (a != b))
@@ -86,10 +96,10 @@ def connected_components(edges: DataFrame, what: str = "components", most_rounds
     for _ in range(most_rounds):
         both = cur.select(F.col("x").alias("u"), F.col("y").alias("v")).union(cur.select("y", "x"))
         low = both.groupBy("u").agg(F.min("v").alias("low"))
-        low = low.select("u", F.least("u", "low").alias("m"))
+        low = keep(low.select("u", F.least("u", "low").alias("m")), what)
         large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("x"), F.col("m").alias("y"))
         large = large.where("x <> y")
-        low2 = large.groupBy("x").agg(F.min("y").alias("m"))
+        low2 = keep(large.groupBy("x").agg(F.min("y").alias("m")), what)
         small = large.join(low2, "x").where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
         nxt = keep(small.union(low2.select("x", F.col("m").alias("y"))).distinct(), what)
         now = state(nxt)
