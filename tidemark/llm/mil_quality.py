@@ -83,7 +83,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 3) -> AttentionM
     init = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float64)
     p = {"W": init(WIDTH, HIDDEN) * 2, "b": np.zeros(HIDDEN), "V": init(HIDDEN, ATTENTION), "U": init(HIDDEN, ATTENTION), "w": init(ATTENTION), "c": init(HIDDEN), "d": np.zeros(1)}
     model, m, v, step = AttentionModel(p), {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0
-    share = np.array([max((labels == k).mean(), 1e-6) for k in (0, 1)])
+    share = np.array([max((labels == k).sum() / max(len(labels), 1), 1e-6) for k in (0, 1)])
     # a good text lost costs more than a bad one kept
     weight = np.array([0.35, 0.65])[labels] / share[labels]
     for _ in range(EPOCHS if len(bags) else 0):
@@ -129,8 +129,9 @@ def training_bags(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[l
             bags = [encode_passages(text).astype(np.float16).tobytes() for text in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(bags, pa.binary()), batch.column(2)], ["doc_id", "bag", "quality"])
 
-    # at most twice per_class rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"), F.col("quality").cast("int"))
+    # at most twice per_class documents; of rows that share an id the one with the smallest text
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    rows = rows.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"), F.col("quality").cast("int"))
     got = sorted(rows.mapInArrow(run, "doc_id bigint, bag binary, quality int").collect(), key=lambda r: (r["doc_id"], bytes(r["bag"])))
     return [np.frombuffer(r["bag"], np.float16).reshape(-1, WIDTH) for r in got], np.array([r["quality"] for r in got], np.int64)
 
@@ -139,9 +140,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = MOST_PER
     """doc_id, held_out, score, predicted, n_passages and top_passage (the one that weighs most) for every row of ``docs``.
 
     Only ``text`` enters a score; labels (doc_id, quality) of documents that are not held out train the model. Texts
-    that are null or without words are one passage of zeros and get the model's score for it. Null doc_ids are not held
-    out; repeated rows score alike; without any usable labels scores come from the untrained model; an empty table
-    gives no rows; other columns are ignored.
+    that are null or without words are one passage of zeros and get the model's score for it; very long texts have all
+    of their passages scored; of passages that weigh the same the first is ``top_passage``. Null doc_ids are not held
+    out; repeated rows score alike, and of rows that share a sampled id the smallest text is fitted on; without any usable
+    labels scores come from the untrained model; an empty table gives no rows; other columns are ignored.
     """
     model = fit(*training_bags(docs, labels, per_class))
 
