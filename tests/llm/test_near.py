@@ -112,6 +112,26 @@ def test_estimate_keeps_similar_pairs():
     assert lost == 0
 
 
+def test_strangers_do_not_meet():
+    """Registers of disjoint sets of equal size agree so rarely that a band of them has a chance under 1e-11."""
+    rng = np.random.default_rng(4)
+    regs = np.stack([N.sketch(rng.integers(0, 1 << 63, 200, dtype=np.uint64)) for _ in range(600)])
+    same = np.mean([(regs[i] == regs[i + 1 :]).mean() for i in range(len(regs) - 1)])
+    assert same**N.BAND < 1e-11
+
+
+def test_pairs_at_the_bound_share_a_band():
+    rng = np.random.default_rng(6)
+    lost, agree = 0, []
+    for _ in range(1500):
+        both = rng.integers(0, 1 << 63, 150, dtype=np.uint64)
+        x, y = (N.sketch(np.concatenate([both, rng.integers(0, 1 << 63, 25, dtype=np.uint64)])) for _ in range(2))
+        bands = (x == y).reshape(-1, N.BAND).all(1)
+        lost += not bands.any()
+        agree.append(bands.mean())
+    assert lost == 0 and (1 - np.mean(agree)) ** (N.REGISTERS // N.BAND) < 1e-4
+
+
 def vectors(spark, seed=3):
     rng = np.random.default_rng(seed)
     base = rng.standard_normal((40, 16))

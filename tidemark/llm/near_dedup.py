@@ -10,11 +10,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import connected_components, keep, small_or_plain, table, with_least
+from tidemark.llm.shared import connected_components, give_back, keep, small_or_plain, table, with_least
 
 WORDS, SIMILARITY = 5, 0.75
 #: Registers, their base and largest value; registers in a band; estimates below CUT are no candidates.
-REGISTERS, BASE, TOP, BAND, CUT = 128, 1.1, 254, 4, 0.58
+#: With this base two disjoint sets of equal size agree in a register with a chance of 0.0013, in a band of 3e-12, so
+#: that strangers do not meet in buckets up to 10^10 documents; a pair at 0.75 shares no band with a chance of 5e-6.
+REGISTERS, BASE, TOP, BAND, CUT = 128, 1.005, (1 << 16) - 2, 4, 0.58
+_REGISTER = np.dtype("<u2")
 #: Members of a cluster that are compared in one block.
 BLOCK = 2048
 
@@ -56,7 +59,7 @@ def sketch(items: np.ndarray) -> np.ndarray:
         least = np.minimum(least, (items[lo : lo + 256, None] * _MUL + _ADD).min(axis=0))
     u = (least.astype(np.float64) + 1.0) / 2.0**64
     value = -np.log1p(-np.minimum(u, 1 - 1e-16))
-    return np.clip(np.floor(1 - np.log(value / 16.0) / np.log(BASE)), 0, TOP + 1).astype(np.uint8)
+    return np.clip(np.floor(1 - np.log(value / 16.0) / np.log(BASE)), 0, TOP + 1).astype(_REGISTER)
 
 
 def likely(more: np.ndarray, less: np.ndarray, same: np.ndarray, n1: np.ndarray, n2: np.ndarray, at: float = CUT) -> np.ndarray:
@@ -89,6 +92,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                     regs.append(sketch(s).tobytes() if len(s) else None)
                 yield pa.record_batch([part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(regs, pa.binary())], ["doc_id", "text_key", "n", "digest", "regs"])
+        give_back()
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"), text_key().alias("text_key")).mapInArrow(run, "doc_id bigint, text_key bigint, n bigint, digest binary, regs binary")
 
@@ -103,6 +107,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
                 yield pa.record_batch([part.column(0), pa.array([shingle_set(t).tobytes() for t in part.column(1).to_pylist()], pa.binary())], ["id", "items"])
+        give_back()
 
     return docs.select("id", F.col("text").cast("binary")).mapInArrow(run, "id bigint, items binary")
 
@@ -114,7 +119,7 @@ def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, REGISTERS) for i in (4, 5))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), _REGISTER).reshape(-1, REGISTERS) for i in (4, 5))
             n1, n2 = (batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (2, 3))
             ok = likely((x > y).sum(1), (x < y).sum(1), (x == y).sum(1), n1, n2)
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
@@ -138,6 +143,7 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     ok.append(100 * both >= round(100 * SIMILARITY) * (len(x) + len(y) - both))
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
+        give_back()
 
     sets = keep(sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), reps, docs), "near-sets")
     left, right = (sets.select(F.col("id").alias(k), F.col("items").alias(f"{k}_items")) for k in ("a", "b"))
@@ -163,7 +169,7 @@ def block_links(members: DataFrame) -> DataFrame:
         i, j = key[1].as_py(), key[2].as_py()
         ids, comp, n, chunk = (t.column(c).to_numpy() for c in ("id", "comp", "n", "chunk"))
         comp = comp.copy()
-        regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+        regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), _REGISTER).reshape(-1, REGISTERS)
         sets = [np.frombuffer(b, np.uint64) for b in t.column("items").to_pylist()]
         left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
         out: list[tuple[int, int]] = []
@@ -182,6 +188,8 @@ def block_links(members: DataFrame) -> DataFrame:
                 if comp[m] != comp[k]:
                     out.append((min(ids[k], ids[m]), max(ids[k], ids[m])))
                     comp[comp == comp[m]] = comp[k]
+        del regs, sets
+        give_back()
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
     return members.groupBy("cluster", "i", "j").applyInArrow(run, "a bigint, b bigint")
@@ -195,7 +203,8 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     a cluster's members in blocks. Members of one component need no further link, so no group of copies is expanded
     into all its pairs, and blocks return links, not candidates.
     """
-    bands = reps.select("id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda i: F.xxhash64(i, F.substring("regs", i * BAND + 1, F.lit(BAND))))).alias("key"))
+    width = BAND * _REGISTER.itemsize
+    bands = reps.select("id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda i: F.xxhash64(i, F.substring("regs", i * width + 1, F.lit(width))))).alias("key"))
     buckets = keep(bands.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1"), "near-buckets")
     rows = keep(bands.join(buckets, "key"), "near-rows")
     stars = rows.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
@@ -205,7 +214,8 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
 
     # a bucket of two is settled by its only pair
     wide = rows.where("size > 2").join(comps, "id", "left").select("key", "leader", "id", F.coalesce("component", "id").alias("comp"))
-    open_ = wide.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    # written, so that the join with a very large bucket can be split
+    open_ = keep(wide.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "near-unsettled")
     left = keep(wide.join(open_, "key", "left_semi").select("leader", "id", "comp").distinct(), "near-open")
     if left.limit(1).count() == 0:
         return links
