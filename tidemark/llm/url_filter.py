@@ -11,8 +11,8 @@ from tidemark.llm.shared import keep, let, small_or_plain, table
 
 #: (host, path, verdict); a rule holds for its host and all subdomains.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
-#: Trees, their depth, the most labelled urls that they are fitted on, and suffixes with statistics of their own.
-TREES, DEPTH, MOST_LABELLED = 12, 3, 20_000
+#: Trees, their depth, the most labelled urls that they are fitted on, and parts of the urls for their suffix statistics.
+TREES, DEPTH, MOST_LABELLED, FOLDS = 12, 3, 20_000, 4
 FEATURES = ["url_length", "host_length", "path_length", "depth", "host_labels", "digit_ratio", "entropy", "n_params", "param_length", "has_fragment", "n_hyphens", "suffix_share", "suffix_allow"]
 
 
@@ -93,14 +93,22 @@ def fit(rows: DataFrame) -> tuple[DataFrame, GBTClassificationModel | None, floa
     """Statistics of every suffix over all urls, the trees, and the verdict without trees.
 
     Labelled urls are those that a rule decides. The trees are fitted on the MOST_LABELLED of them that come first by
-    the MD5 of the url. With a single class there is nothing to fit: its label stands (1, allow, without any labels).
+    the MD5 of the url; there a suffix's share of allow comes from the other FOLDS of the urls only, so that no url's
+    label is in its own features. With a single class there is nothing to fit: its label stands (1, allow, without any
+    labels).
     """
-    good = (F.col("rule_verdict") == "allow").cast("double")
+    good, fold = (F.col("rule_verdict") == "allow").cast("double"), F.pmod(F.xxhash64("url"), F.lit(FOLDS)).alias("_tm_fold")
     total = rows.agg(F.count("*")).first()[0] or 1
-    allow = (F.coalesce(F.sum(good), F.lit(0.0)) + 1) / (F.count(good) + 2)
-    by = rows.groupBy(F.col("suffix").alias("_tm_suffix")).agg((F.count("*") / F.lit(total)).alias("_tm_share"), allow.alias("_tm_allow"))
-    stats = keep(by, "url-suffixes")
-    labelled = with_suffix_statistics(rows.where("rule_verdict is not null"), stats)
+    parts = rows.groupBy(F.col("suffix").alias("_tm_suffix"), fold).agg(F.count("*").alias("n"), F.coalesce(F.sum(good), F.lit(0.0)).alias("_tm_good"), F.count(good).alias("_tm_labelled"))
+    parts = keep(parts, "url-suffix-folds")
+    allow = lambda g, n: (g + 1) / (n + 2)
+    sums = parts.groupBy("_tm_suffix").agg(F.sum("n").alias("n"), F.sum("_tm_good").alias("g"), F.sum("_tm_labelled").alias("l"))
+    stats = keep(sums.select("_tm_suffix", (F.col("n") / F.lit(total)).alias("_tm_share"), allow(F.col("g"), F.col("l")).alias("_tm_allow")), "url-suffixes")
+    others = parts.select("_tm_suffix", "_tm_fold", F.col("_tm_good").alias("own_g"), F.col("_tm_labelled").alias("own_l")).join(sums, "_tm_suffix")
+    others = keep(others.select("_tm_suffix", "_tm_fold", (F.col("n") / F.lit(total)).alias("_tm_share"), allow(F.col("g") - F.col("own_g"), F.col("l") - F.col("own_l")).alias("_tm_allow")), "url-other-folds")
+    labelled = rows.where("rule_verdict is not null").withColumn("_at_fold", fold)
+    labelled = labelled.join(small_or_plain(others, 100_000), (F.col("suffix") == F.col("_tm_suffix")) & (F.col("_at_fold") == F.col("_tm_fold")))
+    labelled = labelled.withColumnsRenamed({"_tm_share": "suffix_share", "_tm_allow": "suffix_allow"})
     sample = labelled.select(*FEATURES, (F.col("rule_verdict") == "allow").cast("double").alias("target"), F.md5(F.col("url").cast("binary")).alias("h"))
     sample = keep(sample.orderBy("h", *FEATURES).limit(MOST_LABELLED).drop("h"), "url-sample")
     classes = [r["target"] for r in sample.select("target").distinct().collect()]
@@ -115,8 +123,10 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> D
     """All columns of ``pages`` with host, path, rule and verdict.
 
     Where a rule fits it decides; else the trees do. Null urls and those without :// have an empty host and path and
-    no rule, and the trees judge their features like any other's. Repeated rows are judged alike; columns of
-    ``pages`` with an output's name are replaced and those with a feature's name dropped; an empty table gives no rows.
+    no rule, and the trees judge their features like any other's; an empty path fits no rule that ends in a slash. Urls
+    of any length are read whole; of rules that fit with texts of equal length the smaller text wins. Repeated rows are
+    judged alike; columns of ``pages`` with an output's name are replaced and those with a feature's name dropped; an
+    empty table gives no rows.
     """
     narrow = url_features(pages.select("url"), rules)
     stats, model, constant = fit(narrow)
