@@ -249,8 +249,9 @@ def cap_dedup(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Vectors of equal label and length link when their cosine in double precision is ``threshold`` or more. Equal
     vectors form a class; its copies are counted, not compared. Two vectors meet in each filter that both exceed; the
     number of filters is set so that a pair at the threshold is missed with a chance of 1e-5 (nearer pairs less still). Null, empty, zero and non-finite vectors, null labels and null vec_ids link with nothing; rows that
-    repeat a vec_id are vectors of their own under one id, each with its own links; an empty table gives no rows; other
-    columns are ignored.
+    repeat a vec_id are vectors of their own under one id, each with its own links; ties do not arise, as a component's
+    name is its smallest vec_id; vectors of any length are compared whole; an empty table gives no rows; other columns
+    are ignored.
     """
     rows = keep(prepare(vectors), "cap-vectors")
     good = rows.where("digest is not null and vec_id is not null")

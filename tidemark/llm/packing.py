@@ -45,8 +45,9 @@ def pack_concat(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_i
     Documents lie in the order of the scan's partitions. A document's ids (``end_id`` appended) are split wherever a
     window ends, so only the last sequence of all can be short. Returns one row per piece with its ids as unsigned
     32-bit little-endian integers; ``start`` is the piece's place in its document, ``offset`` in its sequence.
-    Null or empty texts have the end id alone; null doc_ids are kept; repeated rows are packed once each; other
-    columns are ignored; an empty table gives no rows.
+    Null or empty texts have the end id alone; very long texts are encoded whole and cut like others; null doc_ids are
+    kept; repeated rows, and other texts under one doc_id, are packed once each; other columns are ignored; an empty
+    table gives no rows.
     """
     wide = encoder(tokenizer_path).dtype
     encoded = keep(encode_partitions(docs, tokenizer_path, end_id), "packed-ids")

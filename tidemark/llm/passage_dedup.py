@@ -222,7 +222,8 @@ def passage_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines break; documents are ordered by doc_id (nulls first; texts of one doc_id by their hash; rows equal in both are
     one document and stay alike). Lines left without words go, and so do blank
     lines inside a deleted span; ``n_lines`` counts the lines before, ``n_removed`` the deleted words. Null texts stay
-    null with no lines; ``n_chars``, where present, follows the new text; columns of ``docs`` with an output's name are
+    null with no lines; texts of any length are read whole (up to 2^28 words); of equal runs the first in the order of
+    documents stays; ``n_chars``, where present, follows the new text; columns of ``docs`` with an output's name are
     replaced; an empty table gives no rows.
     """
     own = ["n_lines", "n_removed", "removed"]
