@@ -54,7 +54,8 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date
 
 def nearest_value(df: DataFrame, keys: Sequence[str], value: str, date: str, target: Column) -> DataFrame:
     """Value nearest in days to ``target``; of two at the same distance the later."""
-    return df.groupBy(*keys).agg(F.min_by(value, F.struct(F.abs(F.datediff(date, target)), -F.unix_date(date))).alias(value))
+    order = F.abs(F.datediff(date, target)).cast("bigint") * 10_000_000 - F.unix_date(date)  # one number: no sort
+    return df.groupBy(*keys).agg(F.min_by(value, order).alias(value))
 
 
 def first_source(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -112,7 +112,7 @@ def map_accounts(lines: DataFrame, keys: Sequence[str], account: str, value: str
     def best(candidates: list[str]) -> Column:
         name, n = F.col(account), len(candidates)  # the first equal candidate, else the first contained one, ranks a line
         rank = F.coalesce(*(F.when(name == c, i) for i, c in enumerate(candidates)), *(F.when(name.contains(c), n + i) for i, c in enumerate(candidates)))
-        return F.min_by(value, F.when(rank.isNotNull(), F.struct(rank.alias("rank"), F.col(row_no).alias("row_no"))))
+        return F.min_by(value, rank.cast("bigint") * 1_000_000_000_000 + F.col(row_no))  # a number, so that nothing is sorted
 
     out = readable.groupBy(*keys).agg(*(best(cs).alias(f) for f, cs in accounts.items()))
     return out.where(F.greatest(*(F.col(f).isNotNull() for f in accounts), F.lit(False)))

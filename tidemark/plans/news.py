@@ -162,7 +162,8 @@ def parse_amounts(spark: SparkSession, sf: str) -> DataFrame:
     o = A.table(spark, sf, "orders")
     cents = F.format_number("o_totalprice", 2)
     raw = F.when(F.col("o_orderkey") % 7 == 0, F.lit("-")).when(F.col("o_orderkey") % 7 == 1, F.concat(F.lit("("), cents, F.lit(")"))).when(F.col("o_orderkey") % 7 == 2, F.lit("n.m.")).otherwise(cents)
-    return o.select("o_orderkey", N.parse_amount(raw).alias("amount"), N.parse_eps(raw).alias("eps"), N.parse_number(raw).alias("number"))
+    texts, c = o.select("o_orderkey", raw.alias("raw")), F.col("raw")
+    return texts.select("o_orderkey", N.parse_amount(c).alias("amount"), N.parse_eps(c).alias("eps"), N.parse_number(c).alias("number"))
 
 
 def normalize_ticker(spark: SparkSession, sf: str) -> DataFrame:
