@@ -54,6 +54,12 @@ def test_near_against_brute_force(spark):
         assert (r.n_shingles, r.component_id, r.kept) == (len(s[r.doc_id]), want[r.doc_id], want[r.doc_id] == r.doc_id)
 
 
+def test_near_matches_sql(spark, duck):
+    want = duck.sql(f"SELECT doc_id, n_shingles, component_id, kept FROM ({N.SQL['op6_near_dedup']})").fetchall()
+    got = [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in N.query(spark, SMALL).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_chain_of_edits_and_borderline_families(spark):
     """Long chains link end to end; a family just under the bound stays apart."""
     rng = np.random.default_rng(5)

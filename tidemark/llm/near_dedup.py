@@ -256,5 +256,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+#: All pairs with a common shingle, feasible at the checked size.
+_ORACLE = """WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS sh FROM w),
+x AS (SELECT doc_id, len(sh) AS n, md5(unnest(sh)) AS h FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r(id, c) AS (SELECT a, a FROM l UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.id), m AS (SELECT id, min(c) AS c FROM r GROUP BY 1)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, coalesce(c, doc_id) AS component_id, coalesce(c, doc_id) = doc_id AS kept FROM s LEFT JOIN m ON m.id = doc_id"""
+
 QUERIES = {"op6_near_dedup": query}
-SQL: dict[str, str] = {}
+SQL = {"op6_near_dedup": _ORACLE}
