@@ -137,6 +137,11 @@ def test_lm_against_brute_force(spark, odd_docs, no_docs):
     assert S.lm_scores(no_docs, no_docs.select("doc_id")).count() == 0
 
 
+def test_lm_matches_sql(spark, duck):
+    want = duck.sql(f"SELECT doc_id, n_tokens, ce_target, ce_background, score FROM ({S.SQL['op4_lm_scoring']})").fetchall()
+    assert sorted(tuple(r) for r in S.query(spark, SMALL).collect()) == sorted(want)
+
+
 def test_lm_keeps_every_word(spark):
     """More words than 16-bit numbers hold, all of which have their own counts."""
     texts = [" ".join(f"w{i * 700 + j}" for j in range(700)) for i in range(100)] + ["w69999 w69998 w1", "w0 w1 w2"]

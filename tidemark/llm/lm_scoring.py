@@ -262,8 +262,23 @@ def lm_scores(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = N
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return lm_scores(table(spark, sf_dir, "documents"), target)
+    out = lm_scores(table(spark, sf_dir, "documents"), target)
+    six = lambda c: (F.floor(F.col(c) * 1e6 + 0.5) / 1e6).alias(c)  # noqa: E731  as the order of addition shows in later places
+    return out.select("doc_id", "n_tokens", six("ce_target"), six("ce_background"), six("score"))
+
+
+def _sql() -> str:
+    """The same models token by token, feasible at the checked size."""
+    p = "(u.{0} + " + str(PSEUDO) + ") / (t.{0} + " + str(PSEUDO) + " * (v + 3))"
+    loss = lambda c: f"-ln((b.{c} + {BACKOFF} * {p.format(c)}) / (f.{c} + {BACKOFF}))"
+    six = "floor(({0}) * 1e6 + 0.5) / 1e6"
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w, (coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false))::INT AS is_t FROM documents),
+q AS (SELECT r, is_t, list_concat(['start '], list_concat(w, ['end '])) AS q FROM d WHERE len(w) > 0), k AS (SELECT r, is_t, unnest(q) AS x FROM q),
+u AS (SELECT x, count(*)::DOUBLE AS n, sum(is_t)::DOUBLE AS g FROM k GROUP BY 1), t AS (SELECT sum(n) AS n, sum(g) AS g, count(*) FILTER (x NOT IN ('start ', 'end ')) AS v FROM u),
+h AS (SELECT r, is_t, unnest(q[:len(q) - 1]) AS a, unnest(q[2:]) AS z FROM q), b AS (SELECT a, z, count(*)::DOUBLE AS n, sum(is_t)::DOUBLE AS g FROM h GROUP BY 1, 2),
+m AS (SELECT h.r, avg({loss("g")}) AS ct, avg({loss("n")}) AS cb FROM h JOIN b ON h.a = b.a AND h.z = b.z JOIN u f ON f.x = h.a JOIN u ON u.x = h.z CROSS JOIN t GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_tokens, {six.format("ct")} AS ce_target, {six.format("cb")} AS ce_background, {six.format("ct - cb")} AS score FROM d LEFT JOIN m USING (r)"""
 
 
 QUERIES = {"op4_lm_scoring": query}
-SQL: dict[str, str] = {}
+SQL = {"op4_lm_scoring": _sql()}
