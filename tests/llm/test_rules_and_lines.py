@@ -171,6 +171,12 @@ def test_words_against_brute_force(spark, odd_docs):
     assert got == brute_words(sorted((r.doc_id, r.text) for r in rows.collect()), L.MIN_WORDS)
 
 
+def test_passages_match_sql(spark, duck):
+    want = duck.sql(f"SELECT doc_id, n_lines, n_removed, removed, words_md5 FROM ({L.SQL['op5_line_dedup']})").fetchall()
+    got = [(r.doc_id, r.n_lines, r.n_removed, r.removed, r.words_md5) for r in L.query(spark, SMALL).collect()]
+    assert sorted(got) == sorted(want) and any(r[2] for r in got)
+
+
 def test_query_sees_passages_inside_lines(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     want = brute_words(sorted((r.doc_id, r.text) for r in docs.collect()), L.MIN_WORDS)

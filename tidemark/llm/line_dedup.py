@@ -125,8 +125,20 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = passage_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_lines", "n_removed", F.transform("removed", lambda s: F.array(s["first"], s["last"])).alias("removed"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    words = F.btrim(F.regexp_replace(F.coalesce("text", F.lit("")), "[ \\t-\\r]+", " "))
+    return out.select("doc_id", "n_lines", "n_removed", F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["first"], s["last"])), ";").alias("removed"), F.md5(words.cast("binary")).alias("words_md5"))
 
 
+#: Every run of 50 words by its text, feasible at the checked size.
+_ORACLE = f"""WITH w AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, md5(array_to_string(w[i:i + {MIN_WORDS - 1}], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - {MIN_WORDS - 2})) AS i FROM w)),
+g AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS k FROM x) WHERE k > 1),
+b AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= {MIN_WORDS} THEN 0 ELSE 1 END AS new FROM g),
+s AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM b),
+m AS (SELECT doc_id, min(i)::INT - 1 AS first, max(i)::INT + {MIN_WORDS - 2} AS last FROM s GROUP BY doc_id, n),
+a AS (SELECT doc_id, list([first, last] ORDER BY first) AS removed, sum(last - first + 1)::BIGINT AS n FROM m GROUP BY doc_id)
+SELECT w.doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(a.n, 0) AS n_removed, coalesce(array_to_string(list_transform(removed, lambda s: s[1] || '-' || s[2]), ';'), '') AS removed,
+ md5(array_to_string(list_transform(list_filter(list_zip(w, range(len(w))), lambda p: removed IS NULL OR len(list_filter(removed, lambda s: p[2] BETWEEN s[1] AND s[2])) = 0), lambda p: p[1]), ' ')) AS words_md5 FROM w LEFT JOIN a ON a.doc_id = w.doc_id"""
+
 QUERIES = {"op5_line_dedup": query}
-SQL: dict[str, str] = {}
+SQL = {"op5_line_dedup": _ORACLE}
