@@ -1,12 +1,15 @@
+from types import SimpleNamespace
+
 import numpy as np
 import public_tokenizers as P
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.conftest import SMALL
 from tests.llm.test_near import brute_near
 from tests.llm.test_rules_and_lines import base, brute_words
-from tidemark.llm import mixing
+from tidemark.llm import mixing, shared
 from tidemark.llm.passage_dedup import MIN_WORDS
 from tidemark.llm.quality_rules import THRESHOLD
 from tidemark.llm.quality_rules import query as rules_query
@@ -42,8 +45,11 @@ def test_stages_against_brute_force(spark, duck):
     assert len({p.sequence_id for p in pieces}) == int(np.ceil(n / 2048))
 
 
-def test_run(spark):
+def test_run(spark, tmp_path, monkeypatch):
+    """Only the result's table is left in the shared folder."""
+    monkeypatch.setattr(shared, "shared_dir", lambda _: f"file://{tmp_path}")
     assert corpus_pipeline.run(spark, SMALL).count() > 0
+    assert [p.name.split("-")[1] for p in tmp_path.iterdir()] == ["packing"]
 
 
 def test_rows_of_one_id(spark):
@@ -64,3 +70,17 @@ def test_odd_input(spark, odd_docs, no_docs):
             n = out.count()
             assert n <= docs.count() or name == "packing"
             assert n > 0 or docs.count() == 0 or name == "quality_rules"
+
+
+def test_shared_folder():
+    """The session's folder; a temporary one only where there is none and all runs in one process."""
+
+    def session(master, folder=None):
+        context = SimpleNamespace(master=master, applicationId=master, getConf=lambda: SimpleNamespace(get=lambda _: folder))
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda _, other: other), sparkContext=context)
+
+    assert shared.shared_dir(session("spark://host:7077", "hdfs:///work/")) == "hdfs:///work"
+    assert shared.shared_dir(session("local[2]")) == shared.shared_dir(session("local[2]"))
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            shared.shared_dir(session(master))

@@ -204,6 +204,12 @@ def test_mix_meets_the_marginals(spark):
     assert all(abs(weight[c] - v / cells[c]) < 1e-3 * max(1, weight[c]) for c, v in fit.items())
 
 
+def test_mix_takes_given_topics(spark):
+    docs = spark.createDataFrame([(i, "w " * (i + 1), "s", "en", "a" if i % 2 else None) for i in range(6)], "doc_id bigint, text string, source string, lang string, topic string")
+    got = X.mix_to_targets(docs, topics=None, targets={"topic": {"a": 3.0, "other": 1.0}}).toPandas()
+    assert set(got.topic) == {"a", "other"} and abs((got.n_tokens * got.weight)[got.topic == "a"].sum() / (got.n_tokens * got.weight).sum() - 0.75) < 1e-5
+
+
 def test_mix_fails_on_targets_that_no_mix_meets(spark, monkeypatch):
     monkeypatch.setattr(X, "MOST_ROUNDS", 500)
     docs = spark.createDataFrame([(1, "a b", "s", "en"), (2, "a b", "t", "de")], "doc_id bigint, text string, source string, lang string")

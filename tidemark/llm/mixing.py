@@ -33,13 +33,17 @@ def term_counts(text: Column, topics: dict[str, list[str]] = TOPICS) -> list[Col
     return [sum((one(t) for t in terms), F.lit(0)).cast("bigint") for terms in topics.values()]
 
 
-def measured(docs: DataFrame, topics: dict[str, list[str]] = TOPICS, columns: list[str] | None = None) -> DataFrame:
+def measured(docs: DataFrame, topics: dict[str, list[str]] | None = TOPICS, columns: list[str] | None = None) -> DataFrame:
     """All columns of ``docs`` (or ``columns``) with topic and n_tokens; texts are read once and the rows kept.
 
+    With ``topics`` None the column ``topic`` of ``docs`` is taken as it is ("other" for null).
+
     A family's strength is its share in the document of all its occurrences in the corpus; ties go to the first family,
     and a text without any term has the topic "other".
     """
     rest = [c for c in columns or docs.columns if c not in ("topic", "n_tokens", "_tm_terms")]
+    if topics is None:
+        return keep(docs.select(*rest, F.coalesce(F.col("topic").cast("string"), F.lit("other")).alias("topic"), token_count(F.col("text")).alias("n_tokens")), "mix-rows")
     rows = keep(docs.select(*rest, token_count(F.col("text")).alias("n_tokens"), F.array(*term_counts(F.col("text"), topics)).alias("_tm_terms")), "mix-rows")
     totals = rows.agg(*(F.coalesce(F.sum(F.get("_tm_terms", F.lit(k))), F.lit(0)).alias(f"t{k}") for k in range(len(topics)))).first()
     strength = [F.get("_tm_terms", F.lit(k)) / F.lit(float(max(1, totals[k]))) for k in range(len(topics))]
@@ -157,18 +161,18 @@ def mixed(rows: DataFrame, temperature: dict[str, float] = TEMPERATURE, targets:
     return out.withColumn("kept", unit_draw(F.col("doc_id"), seed) < F.col("probability"))
 
 
-def mix_to_targets(docs: DataFrame, temperature: dict[str, float] = TEMPERATURE, targets: dict[str, dict[str, float]] | None = None, topics: dict[str, list[str]] = TOPICS, seed: int = 10) -> DataFrame:
+def mix_to_targets(docs: DataFrame, temperature: dict[str, float] = TEMPERATURE, targets: dict[str, dict[str, float]] | None = None, topics: dict[str, list[str]] | None = TOPICS, seed: int = 10) -> DataFrame:
     """All rows of ``docs`` with topic, n_tokens, weight, probability and ``kept``.
 
     Token weights are raked to the source, lang and topic marginals until none is off by more than TOLERANCE of its
     target; targets that no mix can meet raise ValueError. ``targets`` gives weights by marginal and name; the rest follow
     ``temperature``. Keeping each document with its cell's probability gives token shares that meet the three marginals
     in expectation; the largest probability is 1, so nothing is repeated. Null source or lang is a name of its own,
-    "(null)"; null texts have no tokens; documents of cells without any token are all kept; ties between topics go to
+    "(null)"; with ``topics`` None the documents' own column topic counts; null texts have no tokens; documents of cells without any token are all kept; ties between topics go to
     the first; repeated rows share their draw; texts of any length are read whole and once; columns of ``docs`` with an
     output's name are replaced; an empty table gives no rows.
     """
-    own = ["topic", "n_tokens", "weight", "probability", "kept"]
+    own = ["n_tokens", "weight", "probability", "kept"]
     return mixed(measured(docs.drop(*own), topics), temperature, targets, seed)
 
 

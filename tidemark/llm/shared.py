@@ -6,7 +6,8 @@ import ctypes
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,13 +29,44 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
+        app = spark.sparkContext.applicationId  # a running session takes no new spark.checkpoint.dir
+        if app not in _OWN:
+            _OWN[app] = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
+        found = _OWN[app]
     return found.rstrip("/")
 
 
+#: Temporary folders of sessions in one process that name no shared one.
+_OWN: dict[str, str] = {}
+#: Paths made inside the open ``scratch`` blocks, innermost last.
+_MADE: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    if _MADE:
+        _MADE[-1].append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a table in whatever store it is; nothing happens where there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that operators keep inside the block are deleted at its end; what is needed later must be written elsewhere before.
+
+    Results are lazy and read such tables, so an operator alone cannot tell when they are done with.
+    """
+    _MADE.append([])
+    try:
+        yield
+    finally:
+        for path in _MADE.pop():
+            delete(spark, path)
 
 
 def keep(df: DataFrame, what: str) -> DataFrame:
