@@ -13,7 +13,7 @@ from tidemark.llm.near_dedup import near_dedup, text_key
 from tidemark.llm.packing import pack_concat, pack_digest
 from tidemark.llm.passage_dedup import passage_dedup
 from tidemark.llm.quality_rules import quality_rules, trusted_ids
-from tidemark.llm.shared import fresh_path, keep, small_or_plain, table
+from tidemark.llm.shared import delete, fresh_path, keep, scratch, small_or_plain, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document that lost passages goes when fewer words are left; the quality rules ask for as many.
@@ -66,9 +66,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages; each one's working tables go when it is written, and its input when the next one has read it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
