@@ -154,3 +154,22 @@ def test_index_members_fall_back(spark):
     shape = "ticker string, name string, sector string"
     none, some = spark.createDataFrame([], shape), spark.createDataFrame([("brk.b", "B", "F")], shape)
     assert [r.ticker for r in universe.index_members(none, some).collect()] == ["BRK-B"]
+
+
+def test_scratch_folder():
+    """The session's folder; a temporary one only where there is none and all runs in one process."""
+    from types import SimpleNamespace
+
+    from tidemark.storage import scratch_path
+
+    def session(master, folder=None):
+        context = SimpleNamespace(master=master, applicationId=master, getConf=lambda: SimpleNamespace(get=lambda _: folder))
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda _, other: other), sparkContext=context)
+
+    assert scratch_path(session("yarn", "hdfs:///work/"), "x").startswith("hdfs:///work/x-")
+    assert scratch_path(session("local[*]"), "x").startswith("file:///")
+    try:
+        scratch_path(session("yarn"), "x")
+        raise AssertionError
+    except RuntimeError as e:
+        assert "checkpoint" in str(e)
