@@ -113,7 +113,7 @@ def coverage_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def coverage_warnings(spark: SparkSession, sf: str) -> DataFrame:
-    q = A.statements(spark, sf).where("total_equity = 0").withColumn("issued_shares", F.lit(None).cast("double"))
+    q = A.statements(spark, sf).withColumn("issued_shares", F.lit(None).cast("double"))
     return quality.warnings(quality.field_coverage(q, ["revenue", "issued_shares"]), ["revenue", "issued_shares"])
 
 
