@@ -72,6 +72,14 @@ def test_odd_input(spark, odd_docs, no_docs):
             assert n > 0 or docs.count() == 0 or name == "quality_rules"
 
 
+def test_batches_are_small_while_tables_are_written(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    with shared.small_batches(spark):
+        assert int(spark.conf.get(key)) == shared.BATCH_BYTES
+    assert spark.conf.get(key, None) == before
+
+
 def test_shared_folder():
     """The session's folder; a temporary one only where there is none and all runs in one process."""
 

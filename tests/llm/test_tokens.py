@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests.conftest import SMALL
-from tidemark.llm import packing, tokenfiles
+from tidemark.llm import packing, tokenfiles, tokenizing
 from tidemark.llm.shared import fresh_path
 from tidemark.llm.tokenizing import TokenEncoder
 
@@ -43,6 +44,19 @@ def test_special_strings_are_the_library_s(path):
     assert LIBRARY[path].token_to_id("<|endoftext|>") in ids
 
 
+def test_idle_workers_forget():
+    e = tokenizing.encoder(BYTE)
+    before = e.encode_bytes("some words of a text")
+    assert len(e)
+    tokenizing.idle(0.05)
+    time.sleep(0.6)
+    assert not len(e) and tokenizing.encoder(BYTE).encode_bytes("some words of a text") == before
+    tokenizing.idle(0.3)
+    tokenizing.encoder(BYTE)  # a task that begins keeps the memory
+    time.sleep(0.6)
+    assert len(e)
+
+
 def documents(spark):
     return spark.read.parquet(f"{SMALL}/documents.parquet")
 

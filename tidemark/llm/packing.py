@@ -10,8 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import give_back, keep, table
-from tidemark.llm.tokenizing import encoder
+from tidemark.llm.shared import keep, table
+from tidemark.llm.tokenizing import encoder, idle
 
 _ENCODED = "part int, doc_id bigint, local_start bigint, n_tokens bigint, ids binary"
 _PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -34,7 +34,7 @@ def encode_partitions(docs: DataFrame, tokenizer_path: str, end_id: int) -> Data
                     [pa.array(np.full(len(ids), part, np.int32)), cut.column(0), pa.array(start), pa.array(n), pa.array(ids, pa.binary())],
                     ["part", "doc_id", "local_start", "n_tokens", "ids"],
                 )
-        give_back()
+        idle()
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, _ENCODED)
 

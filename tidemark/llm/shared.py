@@ -17,6 +17,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 #: A side may be broadcast up to so many rows and bytes of data, both counted.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
+#: Bytes of an Arrow batch in jobs that write working tables.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,10 +71,23 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of BATCH_BYTES in the jobs of the block, so that memory outside the heaps does not follow the texts' sizes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def keep(df: DataFrame, what: str) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage and survives lost executors."""
     path = fresh_path(df.sparkSession, what)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -103,6 +118,13 @@ def give_back() -> None:
         trim(0)
 
 
+def sliced(batches: Iterator, rows: int = 1000) -> Iterator:
+    """Arrow batches in slices, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it several times inside higher-order functions."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import fresh_path, keep, table
-from tidemark.llm.tokenizing import encoder
+from tidemark.llm.tokenizing import encoder, idle
 
 #: Stands for a null doc_id in the document file.
 NULL_DOC = np.iinfo(np.int64).min
@@ -84,6 +84,7 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
             return
         for tmp, final in names.values():
             store.move(tmp, final)
+        idle()
         yield pa.record_batch(
             [pa.array([part], pa.int32()), pa.array([f"{out_dir}/part-{part:06d}"]), pa.array([enc.dtype.str]), pa.array([len(doc_ids)], pa.int64()), pa.array([sum(sizes)], pa.int64())],
             ["part", "path", "dtype", "n_docs", "n_tokens"],

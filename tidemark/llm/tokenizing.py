@@ -6,9 +6,12 @@ import json
 import os
 import re
 import struct
+import threading
 
 import numpy as np
 
+from tidemark.llm.shared import give_back
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: ASCII punctuation without the apostrophe, so that no contraction can be formed.
@@ -97,10 +100,28 @@ class TokenEncoder(dict):
 
 
 _ENCODERS: dict[str, TokenEncoder] = {}
+_IDLE: list[threading.Timer] = []
 
 
 def encoder(path: str) -> TokenEncoder:
     """One encoder per tokenizer and worker process; later tasks in the same worker use its memory."""
+    while _IDLE:
+        _IDLE.pop().cancel()
     if path not in _ENCODERS:
         _ENCODERS[path] = TokenEncoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Give the remembered units' memory back."""
+    for e in _ENCODERS.values():
+        e.clear()
+    give_back()
+
+
+def idle(seconds: float = 8.0) -> None:
+    """Called when a task ends: a worker that gets no other encoding task soon must not hold its memory under other stages."""
+    timer = threading.Timer(seconds, forget)
+    timer.daemon = True
+    _IDLE.append(timer)
+    timer.start()
