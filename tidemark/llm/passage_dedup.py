@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import BLANKS, give_back, keep, small_or_plain
+from tidemark.llm.shared import BLANKS, give_back, keep, sliced, small_or_plain
 
 #: A run of words counts as a passage from this many on.
 MIN_WORDS = 50
@@ -75,7 +75,7 @@ def marks_of(docs: DataFrame, min_words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
-        for batch in batches:
+        for batch in sliced(batches):
             docs_, keys, sizes, prints, again = [], [], [], [], []
             for doc, key, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 words = word_hashes(text or b"")
@@ -115,7 +115,7 @@ def windows(docs: DataFrame, min_words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
-        for batch in batches:
+        for batch in sliced(batches):
             shared = batch.column(2)
             for i, (rank, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2)), strict=True)):
                 words = word_hashes(text or b"")
@@ -206,11 +206,11 @@ def without_spans(text: Column, spans: Column) -> Column:
 
     @F.arrow_udf("string")
     def run(texts: pa.Array, spans_: pa.Array) -> pa.Array:
-        pairs = zip(texts.to_pylist(), spans_.to_pylist(), strict=True)
-        left = pa.array([cut(t, [(x["first"], x["last"]) for x in own]).decode() if t is not None and own else None for t, own in pairs], pa.string())
-        del pairs
+        left = [cut(t.as_py(), [(x["first"], x["last"]) for x in own.as_py()]).decode() if t.is_valid and own.is_valid else None for t, own in zip(texts, spans_, strict=True)]
+        out = pa.array(left, pa.string())
+        del left
         give_back()
-        return left
+        return out
 
     return run(F.when(spans.isNotNull(), text.cast("binary")), spans)
 
@@ -232,8 +232,8 @@ def passage_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     texts = keyed.select(F.col("doc_id").cast("bigint"), "text_key", "text")
     marks = keep(marks_of(texts, min_words), "line-marks")
     # all of a text that an earlier document holds as a whole goes; only its first document takes part in the matching
-    one = marks.groupBy("text_key").agg(F.min(F.coalesce("doc_id", F.lit(_NONE))).alias("d0"), F.count("*").alias("n")).where("n > 1").select(F.col("text_key").alias("k0"), "d0")
-    ranked = marks.join(small_or_plain(keep(one, "line-copied")), F.col("text_key") == F.col("k0"), "left").withColumn("is_copy", F.coalesce(F.coalesce("doc_id", F.lit(_NONE)) > F.col("d0"), F.lit(False)))
+    one = marks.groupBy("text_key", "n_words").agg(F.min(F.coalesce("doc_id", F.lit(_NONE))).alias("d0"), F.count("*").alias("n")).where("n > 1").select(F.col("text_key").alias("k0"), F.col("n_words").alias("w0"), "d0")
+    ranked = marks.join(small_or_plain(keep(one, "line-copied")), (F.col("text_key") == F.col("k0")) & (F.col("n_words") == F.col("w0")), "left").withColumn("is_copy", F.coalesce(F.coalesce("doc_id", F.lit(_NONE)) > F.col("d0"), F.lit(False)))
     first = ranked.where("not is_copy")
     prints = first.select("doc_id", "text_key", F.explode("prints").alias("fp"), "again").select("doc_id", "text_key", "fp", F.array_contains("again", F.col("fp")).alias("again"))
     prints = keep(prints, "line-prints")
